@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import chat, quality, sharding, simhash_dedup
+from tripwright.llm import chat, decontamination, line_dedup, quality, sharding, simhash_dedup
 from tripwright.llm._common import read_table
 
 
@@ -15,6 +15,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text without repeated lines, n_lines before, n_removed, of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
+    return line_dedup.dedup_lines(docs.withColumn("n_lines", n_lines))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, slot, shard of every document."""
     return sharding.assign_shards(read_table(spark, sf_dir, "documents").select("doc_id"))
@@ -39,11 +46,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item that it holds a passage of."""
+    return decontamination.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
     "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
     "op9_quality": op9_quality,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
