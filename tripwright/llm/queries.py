@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import chat, decontamination, line_dedup, quality, sharding, simhash_dedup
+from tripwright.llm import bpe, chat, decontamination, line_dedup, quality, sharding, simhash_dedup
 from tripwright.llm._common import read_table
 
 
+def _tokenizer(name: str) -> str:
+    """The path of a public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of every document."""
+    return bpe.token_digests(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id of every document."""
     found = simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -54,6 +66,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
+    "op4_bpe": op4_bpe,
     "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
     "op9_quality": op9_quality,
