@@ -3,9 +3,9 @@
 A text longer than ``LEAF`` characters is halved again and again, wherever the middle
 falls; the halves are encoded together, in one parallel call, and put together pair by
 pair up the tree. At a join, a window around the cut is encoded anew, together with its
-two halves alone; it grows until both sides agree exactly: some token of the left half's
-encoding must be at the same place in the window's, and likewise on the right. A sequence
-of BPE tokens is the encoding of its text if every two neighbours are, and with a common
+two halves alone; it grows until both sides agree exactly: two or more tokens of the left
+half's encoding must be at the same place in the window's, and likewise on the right (two,
+as one at the window's very edge could be an artefact of the edge). A sequence of BPE tokens is the encoding of its text if every two neighbours are, and with a common
 token on either side every two neighbours come from one encoding, so the result is that
 of the whole text. If the window reaches both ends, it is the whole encoding itself.
 
@@ -115,7 +115,7 @@ class Encoder:
                 part = self.direct(text[a:cut])
                 tail = _common(part[::-1], left[::-1])
                 same = _common(w, part)
-                from_left = len(part) - tail if same + tail > len(part) else -1
+                from_left = len(part) - tail if same + tail > len(part) + 1 else -1
                 head = left[: len(left) - tail]
             if b == len(text):
                 to_right, rest = 0, right[:0]
@@ -123,7 +123,7 @@ class Encoder:
                 part = self.direct(text[cut:b])
                 lead = _common(part, right)
                 same = _common(w[::-1], part[::-1])
-                to_right = len(part) - lead if same + lead > len(part) else -1
+                to_right = len(part) - lead if same + lead > len(part) + 1 else -1
                 rest = right[lead:]
             if from_left >= 0 and to_right >= 0 and from_left < len(w) - to_right:
                 return np.concatenate([head, w[from_left : len(w) - to_right], rest])
