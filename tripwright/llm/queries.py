@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.llm import bpe, chat, decontamination, line_dedup, quality, sharding, simhash_dedup
+from tripwright.llm import (
+    bpe,
+    chat,
+    decontamination,
+    html_extract,
+    line_dedup,
+    pii,
+    quality,
+    sharding,
+    simhash_dedup,
+)
 from tripwright.llm._common import read_table
 
 
@@ -21,6 +31,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of every page."""
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id of every document."""
     found = simhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -52,6 +67,11 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chat(turns))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, digest and spans of the personal data in every document."""
+    return pii.find_pii(read_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base figures, the score and the verdict of every document."""
     docs = read_table(spark, sf_dir, "documents")
@@ -67,8 +87,10 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
+    "op5_html": op5_html,
     "op6_simhash": op6_simhash,
     "op7_chat": op7_chat,
+    "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
 }
