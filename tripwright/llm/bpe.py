@@ -191,6 +191,11 @@ def groups(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
+def _lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32)))
+
+
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) for each row; a null text is empty and has no id."""
 
@@ -200,9 +205,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
             texts = [t.as_py() for t in batch.column(1)]
             for a, b in groups(texts):
                 found = enc.encode_many(texts[a:b])
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                flat = np.concatenate(found).astype(np.int32) if found else np.empty(0, np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], _lists(found)], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(run, schema("doc_id long, ids array<int>"))
@@ -223,9 +226,10 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def token_digests(docs: DataFrame, path: str) -> DataFrame:
+def token_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """A row of :data:`DIGEST` for each row of (doc_id, text): encoded, decoded, hashed.
 
+    ``with_ids`` adds the ids themselves, as the column ids array<int>.
     In one pass without a shuffle. A null text is empty; empty texts have no token and the
     digests of the empty string; repeated rows and texts of any length have a row each.
     """
@@ -238,15 +242,15 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
             texts = [t.as_py() for t in batch.column(1)]
             for a, b in groups(texts):
                 found = enc.encode_many(texts[a:b])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[a:b],
-                        pa.array([len(x) for x in found], pa.int64()),
-                        pa.array([sha(" ".join(map(numbers.__getitem__, x.tolist()))) for x in found], pa.string()),
-                        pa.array([sha(enc.decode(x)) for x in found], pa.string()),
-                    ],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                columns = {
+                    "doc_id": batch.column(0)[a:b],
+                    "n_tokens": pa.array([len(x) for x in found], pa.int64()),
+                    "ids_sha256": pa.array([sha(" ".join(map(numbers.__getitem__, x.tolist()))) for x in found], pa.string()),
+                    "decoded_sha256": pa.array([sha(enc.decode(x)) for x in found], pa.string()),
+                }
+                if with_ids:
+                    columns["ids"] = _lists(found)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, schema(DIGEST))
+    return rows.mapInArrow(run, schema(DIGEST + ", ids array<int>" * with_ids))

@@ -83,6 +83,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline of corpus_pipeline.py over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
@@ -93,6 +100,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_quality": op9_quality,
     "op10_decontamination": op10_decontamination,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwright.llm._common import connected_components, schema, stage, text_or_empty
@@ -118,10 +118,13 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group left: the one whose id names the component.
 
-    Rows that repeat that id stay one: of equal ids the row with the smallest content
-    hash is kept. Columns and their order are those of ``docs``.
+    Of rows that repeat that id, the one of the smallest hash of its text stays. Columns and
+    their order are those of ``docs``; a group of null ids only leaves one row of them.
     """
     groups = near_duplicates(docs, id_col, text_col)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    none = F.lit(-(1 << 63)).cast("long")  # stands for a null id, so that the join has a plain key
+    key = F.coalesce(F.col(id_col).cast("long"), none)
+    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", none).alias("_key")).distinct()
+    kept = docs.withColumn("_key", key).join(keep, "_key", "left_semi")
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(text_or_empty(text_col))))
+    return kept.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
