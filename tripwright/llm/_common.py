@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: int) -> DataFrame:
     """``df`` written to the shared folder and read back: the plan before it is done with.
 
     Parquet files there outlive any executor, so a lost executor costs its running
@@ -37,7 +37,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tripwright/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     if not _written:
         atexit.register(_sweep)
     _written.append((spark, path))

@@ -10,7 +10,7 @@ token on either side every two neighbours come from one encoding, so the result
 of the whole text. If the window reaches both ends, it is the whole encoding itself.
 
 Leaves are cut at white space into pieces that the tokenizer never merges across, and
-pieces already seen are looked up; that is exact for the two kinds of tokenizer below
+pieces already seen are looked up, new ones are encoded many at a time; that is exact for the two kinds of tokenizer below
 (any other gets whole leaves):
 
 * byte level, its own regular expression, no normaliser: white space starts a piece;
@@ -35,8 +35,10 @@ from tripwright.llm._common import schema, text_or_empty
 LEAF = 8192
 #: The first window has so many characters on either side of the cut.
 WINDOW = 32
-#: Pieces kept at hand; over this many, the store starts anew.
+#: Pieces kept at hand: twice this many at most, those used last.
 MAX_PIECES = 500_000
+#: So many new pieces go to the library as one text, a special token between them.
+TOGETHER = 128
 #: Longer pieces are not kept.
 MAX_PIECE = 64
 #: Texts are encoded in groups of so many characters.
@@ -77,27 +79,46 @@ class Encoder:
         else:
             self.pieces = lambda text: [text] if text else []
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.mark = next(iter(self.special), None)
         self.words = [self.tok.id_to_token(k) or "" for k in range(self.tok.get_vocab_size(True))]
         self.decoder = spec.get("decoder")
 
     def direct(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, as little-endian uint32; none has a special token in it."""
+        if self.mark is None:
+            found = self.tok.encode_batch_fast(pieces, add_special_tokens=False)
+            return [np.array(x.ids, "<u4").tobytes() for x in found]
+        together = [self.mark.join(pieces[k : k + TOGETHER]) for k in range(0, len(pieces), TOGETHER)]
+        out = []
+        for x in self.tok.encode_batch_fast(together, add_special_tokens=False):
+            ids = np.array(x.ids, "<u4")
+            raw, at = ids.tobytes(), 0
+            for cut in np.nonzero(ids == self.special[self.mark])[0].tolist():
+                out.append(raw[at : 4 * cut])
+                at = 4 * cut + 4
+            out.append(raw[at:])
+        return out
+
     def _leaves(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        known, cut = self.known, [self.pieces(t) for t in texts]
-        new = list({p for ps in cut for p in ps if p not in known})
-        extra = {}
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            for piece, found in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (known if len(piece) <= MAX_PIECE else extra)[piece] = np.array(found.ids, np.uint32).tobytes()
-        if extra:
-            look = lambda p: known[p] if p in known else extra[p]
-        else:
-            look = known.__getitem__
-        return [np.frombuffer(b"".join(map(look, ps)), np.uint32) for ps in cut]
+            self.before, self.known = self.known, {}
+        known, before, cut = self.known, self.before, [self.pieces(t) for t in texts]
+        new, long = [], {}
+        for p in {p for ps in cut for p in ps if p not in known}:
+            if p in before:
+                known[p] = before[p]
+            else:
+                new.append(p)
+        for at in range(0, len(new), 1 << 16):
+            part = new[at : at + (1 << 16)]
+            for piece, ids in zip(part, self._encode_pieces(part), strict=True):
+                (known if len(piece) <= MAX_PIECE else long)[piece] = ids
+        look = (lambda p: known[p] if p in known else long[p]) if long else known.__getitem__
+        return [np.frombuffer(b"".join(map(look, ps)), "<u4") for ps in cut]
 
     def join(self, text: str, cut: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The ids of ``text``, given those of its parts before and after ``cut``."""

@@ -15,6 +15,7 @@ from tripwright.llm import (
     quality,
     sharding,
     simhash_dedup,
+    token_files,
 )
 from tripwright.llm._common import read_table
 
@@ -49,6 +50,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs.withColumn("n_lines", n_lines))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from its token file."""
+    docs = read_table(spark, sf_dir, "documents")
+    return token_files.read_token_files(token_files.write_token_files(docs, _tokenizer("byte_bpe_50k.json")))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, slot, shard of every document."""
     return sharding.assign_shards(read_table(spark, sf_dir, "documents").select("doc_id"))
@@ -92,6 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_token_files": op2_token_files,
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
     "op5_html": op5_html,
