@@ -5,7 +5,7 @@ A segment is the byte string of one file of token ids, for whole documents in or
     magic "TWID", version, documents, ids, ids a block, buckets       6 x uint32
     document ids                                                      int64 each
     ids of each document                                              uint32 each
-    per block: bytes of its payload, CRC-32 of its ids                uint32, uint32
+    per block: bytes of its payload, CRC-32 of its ids and payload    uint32, uint32
     CRC-32 of all above                                               uint32
     payloads
 
@@ -227,7 +227,7 @@ def pack(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, block: int =
     """A segment of documents (``lengths`` ids each) and their ids, one after the other."""
     payloads = encode_blocks(ids, block)
     raw = np.ascontiguousarray(ids, "<u4")
-    crcs = [zlib.crc32(raw[k : k + block]) for k in range(0, len(raw), block)]
+    crcs = [zlib.crc32(p, zlib.crc32(raw[k * block : (k + 1) * block])) for k, p in enumerate(payloads)]
     table = np.array([[len(p), c] for p, c in zip(payloads, crcs, strict=True)], "<u4").reshape(-1, 2)
     head = struct.pack("<6I", MAGIC, VERSION, len(lengths), len(ids), block, BUCKETS)
     head += np.ascontiguousarray(doc_ids, "<i8").tobytes() + np.ascontiguousarray(lengths, "<u4").tobytes() + table.tobytes()
@@ -251,9 +251,10 @@ def unpack(segment: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = end + 4 + np.concatenate([[0], np.cumsum(table[:, 0], dtype=np.int64)])
     if at[-1] != len(segment):
         raise ValueError("the payloads' sizes are wrong")
-    ids = decode_blocks([segment[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], count, block)
+    payloads = [segment[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    ids = decode_blocks(payloads, count, block)
     for k, crc in enumerate(table[:, 1].tolist()):
-        if zlib.crc32(np.ascontiguousarray(ids[k * block : (k + 1) * block], "<u4")) != crc:
+        if zlib.crc32(payloads[k], zlib.crc32(np.ascontiguousarray(ids[k * block : (k + 1) * block], "<u4"))) != crc:
             raise ValueError(f"the checksum of block {k} is wrong")
     return doc_ids, lengths, ids
 
