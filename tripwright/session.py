@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +40,16 @@ def get_session(master: str | None = None, app: str = "tripwright", **settings:
     for key, value in {**RESULT_SETTINGS, **START_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def reachable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers on this machine import the package wherever they are started.
+
+    On a cluster the package comes by ``--py-files`` or is installed.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+    return spark
