@@ -112,6 +112,32 @@ def test_line_dedup_of_an_empty_table(docs):
     assert line_dedup.dedup_lines(docs.where("doc_id < 0")).count() == 0
 
 
+def _near_lines():
+    """Lines with some words changed, and each pair of them that has the edit similarity, by brute force."""
+    rnd = random.Random(11)
+    vocabulary = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 10))) for _ in range(500)]
+    lines = []
+    for n in (20, 30, 40, 60, 80, 100) * 5:
+        words = [rnd.choice(vocabulary) for _ in range(n)]
+        lines.append(" ".join(words))
+        changed = {rnd.randrange(n): rnd.choice(vocabulary) for _ in range(max(1, n // 12))}
+        lines.append(" ".join(changed.get(k, w) for k, w in enumerate(words)))
+    return lines
+
+
+def test_line_dedup_finds_most_near_lines(spark):
+    lines = _near_lines()
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    pairs = rows.alias("a").join(rows.alias("b"), F.col("a.doc_id") < F.col("b.doc_id")).select(
+        F.col("a.doc_id"), F.col("b.doc_id"), F.levenshtein("a.text", "b.text"), F.greatest(F.length("a.text"), F.length("b.text"))
+    )
+    true = [(a, b) for a, b, edits, longest in pairs.collect() if edits <= 0.2 * longest]
+    label = _components(len(lines), true)
+    gone = {r["doc_id"] for r in line_dedup.dedup_lines(rows).collect() if r["n_removed"]}
+    want = {k for k in range(len(lines)) if label[k] != k}
+    assert len(true) >= 25 and gone <= want and len(gone) >= 0.85 * len(want)
+
+
 def test_sharding(spark, docs):
     names = [f"s{k}" for k in range(5)]
     table = sharding.lookup_table(names, 101)
