@@ -138,6 +138,13 @@ def test_line_dedup_finds_most_near_lines(spark):
     assert len(true) >= 25 and gone <= want and len(gone) >= 0.85 * len(want)
 
 
+def test_line_dedup_counts_repeated_words(spark):
+    line = " ".join(["again"] * 30 + [f"only{k}" for k in range(8)])
+    other = line.replace("only3", "another").replace("only5", "different")
+    got = line_dedup.occurrences_of(spark.createDataFrame([(1, line), (2, other)], "doc_id bigint, text string")).collect()
+    assert {r["n_words"] for r in got} == {38} and got[0]["simhash"] == got[1]["simhash"]
+
+
 def test_sharding(spark, docs):
     names = [f"s{k}" for k in range(5)]
     table = sharding.lookup_table(names, 101)
