@@ -145,6 +145,13 @@ def test_line_dedup_counts_repeated_words(spark):
     assert {r["n_words"] for r in got} == {38} and got[0]["simhash"] == got[1]["simhash"]
 
 
+def test_line_dedup_of_short_lines_and_scripts_without_spaces(spark):
+    han = "".join(chr(0x4E00 + 7 * k) for k in range(60))
+    rows = [(1, "Read more\n\nok\n---\n" + han), (2, "read  more!\n\nOK\n---\n" + han), (3, "***\n" + han[:30] + "x" + han[31:]), (4, " \nok1")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "", 3: "***", 4: " \nok1"}
+
+
 def test_sharding(spark, docs):
     names = [f"s{k}" for k in range(5)]
     table = sharding.lookup_table(names, 101)
