@@ -152,6 +152,15 @@ def test_line_dedup_of_short_lines_and_scripts_without_spaces(spark):
     assert got == {1: rows[0][1], 2: "", 3: "***", 4: " \nok1"}
 
 
+def test_line_dedup_sums_each_line_once(spark):
+    line = " ".join(f"word{k}" for k in range(100))
+    rows = [(None, line)] * 50 + [(7, "other line\n" + line.replace("word50", "wort50"))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["n_words"] for r in line_dedup.occurrences_of(docs).collect()} == {100, 2}
+    got = line_dedup.dedup_lines(docs).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in got} == {(None, 0), (7, 1)} and not hasattr(line_dedup, "MAX_FUZZY_WORDS")
+
+
 def test_sharding(spark, docs):
     names = [f"s{k}" for k in range(5)]
     table = sharding.lookup_table(names, 101)
