@@ -246,3 +246,8 @@ def test_pii_table(docs):
     got = pii.find_pii(docs).collect()
     assert len(got) == len(DOCS) and all(r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in got)
     assert pii.redact(docs.where("doc_id = 7").withColumn("text", F.lit("mail a@b.co now"))).first()["text"] == "mail [email] now"
+
+
+def test_pii_shape_covers_the_whole_word():
+    assert pii.word_key('"' + "0f" * 64 + '"') == pii.word_key('"' + "0f" * 16 + '"')
+    assert pii.word_key("a-" * 60 + "0f" * 16) != pii.word_key("a-" * 60)

@@ -126,7 +126,7 @@ def word_key(word: str) -> str:
         return _CUES[bare.lower()]
     if word.lower() in ("[at]", "(at)", "[dot]", "(dot)"):
         return word.lower()[1:-1]
-    shape = re.sub(r"[0-9a-fA-F]{20,}", _HEX, word[:80])
+    shape = re.sub(r"[0-9a-fA-F]{20,}", _HEX, word)
     shape = re.sub(r"[0-9]+", lambda m: str(min(len(m[0]), 5)), re.sub(r"[^\W\d_]+|_+", "a", shape))
     shape = re.sub(r"([^\w])\1+", r"\1", shape)
     bare = re.sub(r"[.,:;!?#*$%&|<>]+$", "", shape)
