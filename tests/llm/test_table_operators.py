@@ -100,12 +100,9 @@ def test_line_dedup(docs):
 def test_line_dedup_links_fuzzy_lines(spark):
     line = " ".join(f"word{k}" for k in range(80))
     other = line.replace("word40", "wort40")
-    print_of = lambda t: t
     rows = [(1, line), (2, other + "\nkept as it is here"), (3, _text(80))]
     got = {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    near = line_dedup.occurrences_of(spark.createDataFrame(rows[:2], "doc_id bigint, text string")).where("n_words > 10").collect()
-    linked = ((near[0]["simhash"] ^ near[1]["simhash"]) & ((1 << 64) - 1)).bit_count() <= 3
-    assert got == {1: 0, 2: int(linked), 3: 0} and print_of("") == ""
+    assert got == {1: 0, 2: 1, 3: 0}
 
 
 def test_line_dedup_of_an_empty_table(docs):
@@ -135,14 +132,62 @@ def test_line_dedup_finds_most_near_lines(spark):
     label = _components(len(lines), true)
     gone = {r["doc_id"] for r in line_dedup.dedup_lines(rows).collect() if r["n_removed"]}
     want = {k for k in range(len(lines)) if label[k] != k}
-    assert len(true) >= 25 and gone <= want and len(gone) >= 0.85 * len(want)
+    assert len(true) >= 25 and gone <= want and len(gone) >= 0.9 * len(want)
 
 
 def test_line_dedup_counts_repeated_words(spark):
-    line = " ".join(["again"] * 30 + [f"only{k}" for k in range(8)])
-    other = line.replace("only3", "another").replace("only5", "different")
-    got = line_dedup.occurrences_of(spark.createDataFrame([(1, line), (2, other)], "doc_id bigint, text string")).collect()
-    assert {r["n_words"] for r in got} == {38} and got[0]["simhash"] == got[1]["simhash"]
+    # a word that fills the line outvotes those beside it in its block, which stays as it is to the bit
+    line = " ".join(["again"] * 60 + [f"only{k}" for k in range(20)])
+    other = line.replace("only", "else")
+    got = line_dedup.occurrences_of(spark.createDataFrame([(1, line), (2, other)], "doc_id bigint, text string")).where("own").collect()
+    assert {r["n_words"] for r in got} == {80}
+    assert sum(got[0][f"b{k}"] is not None and got[0][f"b{k}"] == got[1][f"b{k}"] for k in range(line_dedup.MOST_BLOCKS)) == 1
+
+
+def test_line_dedup_edits_leave_other_blocks(spark):
+    words = [f"alpha{k}" for k in range(60)]
+    edited = [*words[:30], "omega", *words[31:]]
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(["first", *words]))], "doc_id bigint, text string")
+    one, two, three = (line_dedup.occurrences_of(rows).where("own").orderBy("doc_id").collect())
+    differ = lambda x, y: sum(x[f"b{k}"] != y[f"b{k}"] for k in range(line_dedup.MOST_BLOCKS))
+    assert one["blocks"] == 8 and differ(one, two) <= 2 and differ(one, three) <= 1
+
+
+def test_line_dedup_groups_equal_brute_force(spark):
+    """All lines of all documents, grouped by all pairs' edit similarity: the same lines stay."""
+    rnd = random.Random(5)
+    vocabulary = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(3, 11))) for _ in range(400)]
+    bases = [[rnd.choice(vocabulary) for _ in range(n)] for n in (14, 25, 50, 70, 120, 300) * 3]
+    lines = []
+    for base in bases:
+        for edits in (0, 1, 2):
+            words = list(base)
+            for _ in range(edits):
+                words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
+            lines.append(" ".join(words if edits < 2 else words + [rnd.choice(vocabulary)]))
+    rnd.shuffle(lines)
+    docs = [(k, "\n".join(lines[k * 6 : k * 6 + 6])) for k in range(len(lines) // 6)] + [(90, "word " * 400), (91, "term " * 400), (None, None)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    flat = [(d, p, line.strip()) for d, t in docs if t for p, line in enumerate(t.split("\n"))]
+    lined = spark.createDataFrame([(k, line) for k, (_, _, line) in enumerate(flat)], "k int, line string")
+    pairs = lined.alias("a").join(lined.alias("b"), F.expr("a.k < b.k AND levenshtein(a.line, b.line) <= 0.2 * greatest(length(a.line), length(b.line))"))
+    label = _components(len(flat), [(r[0], r[1]) for r in pairs.select("a.k", "b.k").collect()])
+    first = {}
+    for k, (d, p, _) in enumerate(flat):
+        first[label[k]] = min(first.get(label[k], (d, p)), (d, p))
+    want = {(d, p) for k, (d, p, _) in enumerate(flat) if first[label[k]] != (d, p)}
+    got = {(r["doc_id"], p) for r in line_dedup.removed_lines(frame).collect() for p, c in enumerate(bytes(r["mask"])) if c == 49}
+    assert len(want) > 25 and got <= want and len(got) >= 0.95 * len(want)
+
+
+def test_line_dedup_long_and_hostile_inputs(spark):
+    many = "\n".join(f"line number {k} of a text with very many lines {k * k}" for k in range(5000))
+    wide = " ".join(f"w{k * 7919 % 10007}" for k in range(40000))
+    rows = [(1, many, 5), (1, many, 6), (2, wide, 7), (3, wide + " more\n\n", 8), (None, "x" * 100000, 9), (4, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_removed int").withColumn("class", F.lit("kept")).withColumn("mask", F.lit(1))
+    out = line_dedup.dedup_lines(docs)
+    got = {(r["doc_id"], r["text"]) for r in out.where("doc_id > 1 or doc_id is null").collect()}
+    assert sorted(out.columns) == sorted(docs.columns) and got == {(2, wide), (3, "\n"), (None, "x" * 100000), (4, None)}
 
 
 def test_line_dedup_of_short_lines_and_scripts_without_spaces(spark):
