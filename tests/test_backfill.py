@@ -109,6 +109,29 @@ def test_failed_month_keeps_current_and_is_retried(spark, store):
     assert returns == {"2020-02": 2, "2020-03": 3}
 
 
+def test_revision_reaches_months_outside_the_plan_and_over_retries(spark, tmp_path):
+    root, files = tmp_path / "root", tmp_path
+    _history(spark, root)
+    plan = plan_range(root, "2020-01", "2020-03", [_source(files, m, TRIPS) for m in ("2020-01", "2020-02", "2020-03")])
+    assert execute(spark, root, plan).status == "SUCCEEDED"
+    # BIKE-LONG came back in March and comes back in February now: March is reached by the old fact only
+    revised = [t if t[0] != "BIKE-LONG" else (*t[:3], "2020-02-20 00:10:00", *t[4:]) for t in TRIPS]
+    plan = plan_range(root, "2020-01", "2020-01", [_source(files, "2020-01", revised, "v2", 1)])
+    assert plan[0].status == "REVISED" and plan[0].previous_fact
+    march = Scope(root, "station_day", "2020-03").current()
+
+    def fail(month, step):
+        if month == "2020-03":
+            raise PublishError("injected")
+
+    result = execute(spark, root, plan, hook=fail)
+    assert result.failed() == ["2020-01"] and Scope(root, "station_day", "2020-03").current() == march
+    result = retry(spark, root, plan, result)
+    assert result.status == "SUCCEEDED" and result.station_days == ["2020-01", "2020-02", "2020-03"]
+    returns = {m: _mart(spark, root, "station_day", m).agg({"return_count": "sum"}).first()[0] for m in ("2020-02", "2020-03")}
+    assert returns == {"2020-02": 4, "2020-03": 1}
+
+
 def test_row_of_another_month_fails_the_unit(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_bytes(_csv(TRIPS[:4]))

@@ -177,3 +177,31 @@ def test_inventories_and_periods():
 def test_schema_gate(spark):
     with pytest.raises(SchemaMismatch):
         require_schema(spark.range(1), (("id", "string"),))
+
+
+@pytest.mark.parametrize(
+    ("name", "months"),
+    [("x_2020-12.csv", ["2020-12"]), ("x_2020_12.csv", ["2020-12"]), ("x_2020.12_1.csv", ["2020-12"]), ("x_2020.07 ~ 08.csv", ["2020-07", "2020-08"]),
+     ("x_2020-07~08.csv", ["2020-07", "2020-08"]), ("plan2_2206.csv", ["2022-06"]), ("d/x_22081.csv", ["2022-08"]), ("x_22.06.csv", ["2022-06"])],
+)
+def test_more_month_names(name, months):
+    assert months_of(name) == months
+
+
+@pytest.mark.parametrize("name", ["x_3012.csv", "x_2020.13.csv", "x_2112~22.csv", "x_2020.08~07.csv", "x_2019.01_2020.02.csv", "x.csv"])
+def test_refused_month_names(name):
+    with pytest.raises(SourceError):
+        months_of(name)
+
+
+def test_white_space_at_the_ends(spark):
+    from pyspark.sql import functions as F
+
+    from tripwright.functions.text import WHITE_SPACE, integer_overflow, read_timestamp, utrim
+
+    rows = spark.createDataFrame([(WHITE_SPACE + "a b" + WHITE_SPACE,), ("\u200bx\u200b",), ("",), (None,)], "t string")
+    assert [r[0] for r in rows.select(utrim(F.col("t"))).collect()] == ["a b", "\u200bx\u200b", "", None]
+    times = spark.createDataFrame([("2020-1-2  3:4:5",), ("2020-01-02T03:04:05",), ("2020-02-30 00:00:00",), ("20-01-02 03:04:05",), (" 2020-01-02\t03:04:05\u3000",)], "t string")
+    assert [str(r[0]) for r in times.select(read_timestamp(F.col("t"))).collect()] == ["2020-01-02 03:04:05", "None", "None", "None", "2020-01-02 03:04:05"]
+    numbers = spark.createDataFrame([("9223372036854775808",), ("1.5",), ("7",), (None,)], "t string")
+    assert [r[0] for r in numbers.select(integer_overflow(F.col("t"))).collect()] == [True, False, False, False]

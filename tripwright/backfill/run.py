@@ -33,6 +33,8 @@ class MonthPlan:
     status: str  # NEW, UNCHANGED, REVISED, MISSING
     units: tuple[SourceUnit, ...] = ()
     recency: int = 0
+    #: The fact version that the plan replaces; a retry still compares with it.
+    previous_fact: str | None = None
 
 
 @dataclass
@@ -67,10 +69,11 @@ def plan_range(root: Path, first: str, last: str, sources: list[Source]) -> list
     out = []
     for month in months_between(first, last):
         own = [s for s in sources if s.month == month]
+        previous = Scope(root, "fact", month).current()
         if len({s.yearly for s in own}) > 1:
             raise PublishError(f"{month}: a monthly and a yearly source")
         if not own:
-            out.append(MonthPlan(month, "MISSING"))
+            out.append(MonthPlan(month, "MISSING", previous_fact=previous))
             continue
         newest = max(s.recency for s in own)
         units = tuple(s.unit for s in own if s.recency == newest)
@@ -81,7 +84,7 @@ def plan_range(root: Path, first: str, last: str, sources: list[Source]) -> list
         else:
             lineage = json.loads((scope.version(now) / "metadata.json").read_text())["lineage"]
             status = "UNCHANGED" if lineage["units"] == [[u.source_version_id, u.member_name] for u in units] else "REVISED"
-        out.append(MonthPlan(month, status, units, newest))
+        out.append(MonthPlan(month, status, units, newest, previous))
     return out
 
 
@@ -90,12 +93,14 @@ def execute(
 ) -> Result:
     """Clean, fact, quality and OD per month, then every station-day month that they touch.
 
+    The returns of a month, old or new, may touch published months outside the plan too.
     A month's failure stays its own; a failed station-day month fails the months that asked
     for it. ``only`` restricts a retry to months of the same plan.
     """
     result, touched = Result("SUCCEEDED"), {}
     tables.publish_calendar(spark, root)
     chosen = [m for m in plan if only is None or m.month in only]
+    planned = {m.month for m in plan}
     for m in chosen:
         step = lambda s, m=m: hook(m.month, s) if hook else None
         said = result.months[m.month] = {"status": "FAILED", "source": m.status, "steps": {}, "error": ""}
@@ -103,7 +108,6 @@ def execute(
             said["error"] = "no source"
             continue
         fact = Scope(root, "fact", m.month)
-        before = fact.current()
         try:
             said["steps"]["clean"] = tables.publish_clean(spark, root, m.month, list(m.units), recency=m.recency, hook=step)[1]
             said["steps"]["fact"] = tables.publish_fact(spark, root, m.month, hook=step)[1]
@@ -118,10 +122,13 @@ def execute(
                 errors.append(f"{name}: {e}")
         said["error"] = "; ".join(errors)
         said["status"] = "FAILED" if errors else "PUBLISHED"
-        old = spark.read.parquet(fact.data("fact", before)) if before else None
-        months = impact_months(old, spark.read.parquet(fact.data("fact")), m.month, plan[0].month, plan[-1].month)
+        old = spark.read.parquet(fact.data("fact", m.previous_fact)) if m.previous_fact else None
+        months = impact_months(old, spark.read.parquet(fact.data("fact")), m.month, tables.FIRST_MONTH, tables.LAST_MONTH)
         for row in months.collect():  # service months of one fact month
-            touched.setdefault(row["service_month"], []).append(m.month)
+            service = row["service_month"]
+            # a month outside the plan without a fact is built when its own turn comes
+            if service in planned or Scope(root, "fact", service).current():
+                touched.setdefault(service, []).append(m.month)
     for month in sorted(touched):
         try:
             status = tables.publish_station_day(spark, root, month, hook=lambda s, month=month: hook(month, s) if hook else None)[1]

@@ -7,13 +7,12 @@ from collections import Counter
 
 from tripwright.sources.rental import SourceError
 
-_RANGE = re.compile(r"(?<!\d)(20\d{2})\.(\d{2})~(\d{2})(?!\d)")
-_FULL = re.compile(r"(?<![\d.])(20\d{2})[.]?(\d{2})(?![\d])")
-_SHORT = re.compile(r"(?<![\d.])(\d{2})\.?(\d{2})(?:\d)?(?![\d])")
-
-
-def _month(year: str, month: str) -> str | None:
-    return f"{year}-{month}" if 1 <= int(month) <= 12 else None
+#: Fixed format: a name ends with a year (20xx, or 15 to 29 for 2015 to 2029), a separator or none and a
+#: month; then nothing, a number of the part after "_", the other month of a range after "~" (years of
+#: four digits with a separator) or one digit of the part (years of two digits without a separator).
+_YEAR, _MONTH = r"20\d\d|1[5-9]|2\d", r"0[1-9]|1[0-2]"
+_END = re.compile(rf"(?<!\d)({_YEAR})([._-]?)({_MONTH})(?:(_\d{{1,2}})|\s*~\s*({_MONTH})|([1-9]))?$")
+_DATE = re.compile(rf"(?<!\d)(?:{_YEAR})[._-]?(?:{_MONTH})(?!\d)")
 
 
 def months_of(name: str) -> list[str] | None:
@@ -21,20 +20,21 @@ def months_of(name: str) -> list[str] | None:
     stem, dot, kind = name.rpartition(".")
     if not dot or kind.lower() != "csv":
         return None
-    stem = stem.rsplit("/", 1)[-1]
-    if m := _RANGE.search(stem):
-        first, last = int(m[2]), int(m[3])
-        if len(re.findall(r"\d+", stem)) > 3 or not 1 <= first < last <= 12:
-            raise SourceError(f"{name}: no clear range of months")
-        return [f"{m[1]}-{k:02d}" for k in range(first, last + 1)]
-    digits = re.findall(r"\d+", stem)
-    for pattern, year, groups in ((_FULL, "", (1, 2)), (_SHORT, "20", (1, 1))):
-        found = [x for m in pattern.finditer(stem) if (x := _month(year + m[1], m[2]))]
-        if found:
-            if len(found) > 1 or len(digits) > groups[1] + (pattern is _SHORT and "." in stem) or "~" in stem:
-                raise SourceError(f"{name}: more than one month")
-            return found
-    raise SourceError(f"{name}: no month")
+    stem = stem.rsplit("/", 1)[-1].rstrip()
+    found = _END.search(stem)
+    if not found:
+        raise SourceError(f"{name}: no month")
+    if _DATE.search(stem[: found.start()]):
+        raise SourceError(f"{name}: more than one month")
+    year, separator, month, _, last, part = found.groups()
+    if (last and not (len(year) == 4 and separator)) or (part and not (len(year) == 2 and not separator)):
+        raise SourceError(f"{name}: no clear month")
+    year = year if len(year) == 4 else f"20{year}"
+    if last is None:
+        return [f"{year}-{month}"]
+    if int(month) >= int(last):
+        raise SourceError(f"{name}: no clear range of months")
+    return [f"{year}-{k:02d}" for k in range(int(month), int(last) + 1)]
 
 
 def compare_inventories(old: dict[str, list[tuple[int, str]]], new: dict[str, list[tuple[int, str]]]) -> dict[str, str]:
