@@ -11,7 +11,7 @@ element. A maximum flow from the content terminal to the boilerplate terminal fi
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm._common import schema, text_or_empty
+from tripwright.llm._common import schema, small_batches, text_or_empty
 
 #: Elements whose text is never shown as running text.
 SILENT = frozenset("script style noscript template head title svg math iframe object canvas select textarea button".split())
@@ -61,20 +61,60 @@ _ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
 NEIGHBOUR, SIBLING = 0.3, 0.9
 
 
+class Node:
+    """An open element. What features ask of all elements around is handed down, so a block costs no walk."""
+
+    __slots__ = ("tag", "number", "up", "depth", "block", "gold", "article", "boiler_tag", "form", "boiler_name", "content_name", "framed")
+
+    def __init__(self, tag: str, name: str, number: int, gold: bool, up: Node | None):
+        self.tag, self.number, self.up = tag, number, up
+        self.depth = up.depth + 1 if up else 1
+        #: The nearest element that is not inline, itself included.
+        self.block: Node | None = (up.block if up else None) if tag in INLINE else self
+        over = lambda what: up is not None and getattr(up, what)
+        self.gold = gold or over("gold")
+        self.article = tag in ("article", "main") or over("article")
+        # a header, footer or aside counts wherever it stands; comments inside the article too
+        self.boiler_tag = tag in ("nav", "footer", "aside", "header", "dialog", "menu") or over("boiler_tag")
+        self.form = tag in ("form", "fieldset", "label", "input") or over("form")
+        self.boiler_name = bool(name and BOILERPLATE.search(name)) or over("boiler_name")
+        self.content_name = bool(name and CONTENT.search(name)) or over("content_name")
+        self.framed = tag not in ("html", "body", "div", "p", "span", "section") or over("framed")
+
+
+def same_places(x: Node | None, y: Node | None) -> int:
+    """How many elements of the two paths have the same tag at the same depth; shared ones aren't walked."""
+    if not x or not y:
+        return 0
+    while x.depth > y.depth:
+        x = x.up
+    while y.depth > x.depth:
+        y = y.up
+    found = 0
+    while x is not y:
+        found += x.tag == y.tag
+        x, y = x.up, y.up
+    return found + (x.depth if x else 0)
+
+
 @dataclass
 class Block:
     text: str
     parent: int
-    tags: tuple[str, ...]
-    names: tuple[str, ...]
+    #: The innermost element around the text that is not inline.
+    node: Node | None
     link_chars: int
-    gold: bool
+
+    @property
+    def gold(self) -> bool:
+        return bool(self.node and self.node.gold)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order; broken markup is read as browsers do, roughly."""
     found: list[Block] = []
-    stack: list[tuple[str, str, int, bool]] = []
+    stack: list[Node] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     linked = 0
     silent = 0
@@ -85,18 +125,16 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                inline = len(stack)
-                while inline and stack[inline - 1][0] in INLINE:
-                    inline -= 1
-                around = stack[:inline]
-                parent = around[-2][2] if len(around) > 1 and around[-1][0] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") else (around[-1][2] if around else 0)
-                found.append(Block(text, parent, tuple(e[0] for e in around), tuple(e[1] for e in around), min(linked, len(text)), any(e[3] for e in around)))
+                node = stack[-1].block if stack else None
+                outer = node.up if node and node.up and node.tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6") else node
+                found.append(Block(text, outer.number if outer else 0, node, min(linked, len(text))))
             parts.clear()
         linked = 0
 
     def close(k: int) -> None:
         nonlocal silent
-        silent -= sum(e[0] in SILENT for e in stack[k:])
+        silent -= sum(e.tag in SILENT for e in stack[k:])
+        opened.subtract(e.tag for e in stack[k:])
         del stack[k:]
 
     at, size = 0, len(page)
@@ -106,7 +144,7 @@ def blocks_of(page: str) -> list[Block]:
         if upto > at and not silent:
             piece = page[at:upto]
             parts.append(piece)
-            if any(e[0] == "a" for e in stack[-4:]):
+            if any(e.tag == "a" for e in stack[-4:]):
                 linked += len(piece.strip())
         if not m:
             break
@@ -122,13 +160,13 @@ def blocks_of(page: str) -> list[Block]:
                 parts.append(" ")
             continue
         if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+            for k in range(len(stack) - 1, -1, -1) if opened[tag] else ():
+                if stack[k].tag == tag:
                     if tag not in INLINE:
                         flush()
                     close(k)
                     break
-                if tag in INLINE and stack[k][0] not in INLINE:
+                if tag in INLINE and stack[k].tag not in INLINE:
                     break
             else:
                 if tag not in INLINE:
@@ -138,10 +176,15 @@ def blocks_of(page: str) -> list[Block]:
             flush()
             shut = CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
             k = len(stack)
-            while k and (stack[k - 1][0] in shut or stack[k - 1][0] in INLINE):
-                k -= 1
-                if stack[k][0] in shut:
+            while k:
+                top = stack[k - 1]
+                if top.tag in shut:
+                    k -= 1
                     close(k)
+                elif top.tag in INLINE:
+                    k = top.block.depth if top.block else 0
+                else:
+                    break
         if tag in VOID:
             continue
         attrs = m["attrs"]
@@ -152,7 +195,8 @@ def blocks_of(page: str) -> list[Block]:
         if attrs.endswith("/") and tag not in ("p", "div", "a", "span"):
             continue
         number += 1
-        stack.append((tag, names.strip(), number, gold))
+        stack.append(Node(tag, names.strip(), number, gold, stack[-1] if stack else None))
+        opened[tag] += 1
         silent += tag in SILENT
         if tag in _RAW_END:
             end = _RAW_END[tag].search(page, at)
@@ -169,20 +213,17 @@ FEATURES = (
 
 
 def features_of(block: Block) -> list[float]:
-    tags, names = set(block.tags), [n for n in block.names if n]
-    inside = block.tags.index("article") if "article" in tags else block.tags.index("main") if "main" in tags else len(block.tags)
-    # a header, footer or aside counts wherever it stands; comments inside the article too
-    boiler_tag = bool(tags & {"nav", "footer", "aside", "header", "dialog"}) or "menu" in tags
-    boiler_name = any(BOILERPLATE.search(n) for n in block.names if n)
+    node = block.node
+    have = lambda what: float(bool(node and getattr(node, what)))
     words = block.text.count(" ") + 1
-    leaf = block.tags[-1] if block.tags else ""
+    leaf = node.tag if node else ""
     return [
         1.0,
-        float(inside < len(block.tags)),
-        float(boiler_tag),
-        float(bool(tags & {"form", "fieldset", "label", "input"})),
-        float(boiler_name),
-        float(any(CONTENT.search(n) for n in names)),
+        have("article"),
+        have("boiler_tag"),
+        have("form"),
+        have("boiler_name"),
+        have("content_name"),
         block.link_chars / max(1, len(block.text)),
         float(leaf == "p"),
         float(leaf in ("h1", "h2", "h3", "h4", "h5", "h6")),
@@ -190,7 +231,7 @@ def features_of(block: Block) -> list[float]:
         min(np.log1p(len(block.text)), 7.0) / 7,
         float(block.text.rstrip("\"')”»").endswith((".", "!", "?", ":", "…", ";"))),
         float(words > 10),
-        float(len(tags - {"html", "body", "div", "p", "span", "section"}) == 0),
+        1.0 - have("framed"),
     ]
 
 
@@ -305,8 +346,8 @@ def label(blocks: list[Block], weights: np.ndarray) -> list[bool]:
     last: dict[int, int] = {}
     for k, b in enumerate(blocks):
         if k and blocks[k - 1].parent != b.parent:
-            shared = len([1 for x, y in zip(blocks[k - 1].tags, b.tags, strict=False) if x == y])
-            ties.append((k - 1, k, NEIGHBOUR * shared / max(1, len(b.tags), len(blocks[k - 1].tags))))
+            x, y = blocks[k - 1].node, b.node
+            ties.append((k - 1, k, NEIGHBOUR * same_places(x, y) / max(1, x.depth if x else 0, y.depth if y else 0)))
         if b.parent in last:
             ties.append((last[b.parent], k, SIBLING))
         last[b.parent] = k
@@ -340,4 +381,4 @@ def extract(pages: DataFrame) -> DataFrame:
             )
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), text_or_empty("html").alias("html"))
-    return rows.mapInArrow(run, schema(RESULT))
+    return small_batches(rows).mapInArrow(run, schema(RESULT))
