@@ -6,7 +6,10 @@ seeds meet seeds of a benchmark item are verified around the hit: on the hit's a
 some run of ``window`` item words (the whole item if it is shorter) must agree with the
 document in ``min_match`` of its words, so substituted words are tolerated. One of the
 masks has a hit in every window of 13 words with up to two substitutions, as
-``min_match`` 0.8 allows, wherever they are.
+``min_match`` 0.8 allows, wherever they are. Items of lengths for which the masks promise
+no hit have seeds of runs instead, as long as the longest run that the substitutions allowed
+must leave whole: an item of one to four words is such a run itself, so it is found if it is
+there word for word. Documents are searched for the run lengths that the benchmark needs.
 
 Neither side is collected: documents are thinned by a Bloom filter of the benchmark's seeds
 whose size is fixed (``BLOOM_BITS``, 1 MB, so it may be sent to every task; a benchmark too
@@ -22,12 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm._common import schema, stage, text_or_empty
+from tripwright.llm._common import schema, small_batches, stage, text_or_empty
 
 #: Positions that a mask reads, from its window's first word.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 6, 7), (0, 1, 4, 6, 7))
 WINDOW = 13
 MIN_MATCH = 0.8
+#: Item length to run length, for items that MASKS may miss: with 0, 1 or 2 words substituted a run of so many stays whole.
+RUNS = {1: 1, 2: 2, 3: 3, 4: 4, 5: 2, 6: 3, 7: 3, 10: 3, 11: 3}
+#: Word hashes that a worker keeps at hand.
+KNOWN_WORDS = 1 << 17
 BLOOM_BITS = 1 << 23
 #: A document is hashed in slices of so many words.
 SLICE = 1 << 16
@@ -43,7 +50,7 @@ def _words(text: str) -> list[str]:
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
-    """A 64-bit hash of each word; frequent words are kept at hand, at most a million."""
+    """A 64-bit hash of each word; frequent words are kept at hand."""
     import xxhash
 
     get, out = _known.get, []
@@ -51,19 +58,19 @@ def _word_hashes(words: list[str]) -> np.ndarray:
         h = get(w)
         if h is None:
             h = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-            if len(_known) < 1_000_000:
+            if len(_known) < KNOWN_WORDS:
                 _known[w] = h
         out.append(h)
     return np.array(out, np.uint64)
 
 
 def seed_hashes(hashes: np.ndarray, mask: int) -> np.ndarray:
-    """The seed at each start of ``mask``'s window; empty if there are too few words."""
-    offsets = MASKS[mask]
+    """The seed at each start of ``mask``'s window (a negative one is a run's length); empty if there are too few words."""
+    offsets = MASKS[mask] if mask >= 0 else range(-mask)
     n = len(hashes) - offsets[-1]
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = np.full(n, mask + 1, np.uint64)
+    out = np.full(n, mask + 1 if mask >= 0 else 1 << 32 | -mask, np.uint64)
     for o in offsets:
         out = (out ^ hashes[o : o + n]) * _MIX
         out ^= out >> np.uint64(29)
@@ -91,17 +98,19 @@ def best_window(doc: list[str], item: list[str], shift: int, window: int = WINDO
 def _test_seeds(benchmark: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, seeds, at = [], [], []
+            ids, seeds, at, runs = [], [], [], []
             for item, text in zip(batch.column(0), batch.column(1), strict=True):
                 hashes = _word_hashes(_words(text.as_py()))
-                for mask in range(len(MASKS)):
+                for mask in [-RUNS[len(hashes)]] if len(hashes) in RUNS else range(len(MASKS)):
                     found = seed_hashes(hashes, mask)
                     ids += [item.as_py()] * len(found)
                     seeds += found.view(np.int64).tolist()
                     at += range(len(found))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(seeds, pa.int64()), pa.array(at, pa.int32())], names=["item_key", "seed", "item_at"])
+                    runs += [max(0, -mask)] * len(found)
+            columns = [pa.array(ids, pa.int64()), pa.array(seeds, pa.int64()), pa.array(at, pa.int32()), pa.array(runs, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["item_key", "seed", "item_at", "run"])
 
-    return benchmark.mapInArrow(run, schema("item_key long, seed long, item_at int")).distinct()
+    return benchmark.mapInArrow(run, schema("item_key long, seed long, item_at int, run int")).distinct()
 
 
 def _bloom(seeds: DataFrame) -> np.ndarray:
@@ -117,8 +126,9 @@ def _bloom(seeds: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def _regions(docs: DataFrame, bloom: np.ndarray, reach: int) -> DataFrame:
+def _regions(docs: DataFrame, bloom: np.ndarray, reach: int, runs: list[int]) -> DataFrame:
     """Stretches of documents around seeds that pass the filter, ``reach`` words to each side."""
+    masks = [*range(len(MASKS)), *(-n for n in runs)]
     packed = np.packbits(bloom, bitorder="little").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +140,7 @@ def _regions(docs: DataFrame, bloom: np.ndarray, reach: int) -> DataFrame:
                 at, seeds = [], []
                 for begin in range(0, max(1, len(words)), SLICE):
                     hashes = _word_hashes(words[begin : begin + SLICE + 8])
-                    for mask in range(len(MASKS)):
+                    for mask in masks:
                         found = seed_hashes(hashes, mask)[:SLICE]
                         one, two = _bloom_places(found)
                         hit = np.nonzero(bits[one] & bits[two])[0]
@@ -151,15 +161,15 @@ def _regions(docs: DataFrame, bloom: np.ndarray, reach: int) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["doc_id", "first", "words", "seeds", "places"])
 
-    return docs.mapInArrow(run, schema("doc_id long, first long, words string, seeds array<long>, places array<long>"))
+    return small_batches(docs).mapInArrow(run, schema("doc_id long, first long, words string, seeds array<long>, places array<long>"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_match: float = MIN_MATCH) -> DataFrame:
     """(doc_id, item_id, doc_word, matched, compared): each document with each item in it.
 
     The row tells the best window: its first word in the document, how many words were
-    compared and how many agreed. Items of fewer than five words have no seed and are never
-    found; null texts are empty; equal item texts are searched once and reported for each
+    compared and how many agreed. Items of one to four words count if they are there whole, items
+    without a word never; null texts are empty; equal item texts are searched once and reported for each
     id; a null id is reported as null; rows that repeat an id give one row per item.
     """
     texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text"))
@@ -167,8 +177,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_ma
     unique = items.groupBy("item_key", "text").count().select("item_key", "text")
     seeds = stage(_test_seeds(unique), "seeds")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    runs = sorted(r["run"] for r in seeds.select("run").distinct().collect() if r["run"])  # four lengths at most
+    seeds = seeds.drop("run")
     regions = stage(
-        _regions(rows, _bloom(seeds), max(window, 1 + max(m[-1] for m in MASKS)) + window).withColumn(
+        _regions(rows, _bloom(seeds), max(window, 1 + max(m[-1] for m in MASKS)) + window, runs).withColumn(
             "region", F.xxhash64("doc_id", "first", "words")
         ),
         "regions",
