@@ -296,3 +296,62 @@ def test_pii_table(docs):
 def test_pii_shape_covers_the_whole_word():
     assert pii.word_key('"' + "0f" * 64 + '"') == pii.word_key('"' + "0f" * 16 + '"')
     assert pii.word_key("a-" * 60 + "0f" * 16) != pii.word_key("a-" * 60)
+
+
+def test_every_allowed_substitution_meets_a_seed():
+    from itertools import combinations
+
+    for n in range(1, 14):
+        words = [f"w{k}" for k in range(n)]
+        masks = [-decontamination.RUNS[n]] if n in decontamination.RUNS else range(len(decontamination.MASKS))
+        whole = decontamination._word_hashes(words)
+        seeds = {(m, at, int(h)) for m in masks for at, h in enumerate(decontamination.seed_hashes(whole, m))}
+        changes = n - int(np.ceil(decontamination.MIN_MATCH * n - 1e-9))
+        for places in combinations(range(n), changes):
+            text = [f"other{k}" if k in places else w for k, w in enumerate(words)]
+            found = {(m, at, int(h)) for m in masks for at, h in enumerate(decontamination.seed_hashes(decontamination._word_hashes(text), m))}
+            assert seeds & found, (n, places)
+
+
+def test_decontamination_equals_brute_force(spark):
+    rnd = random.Random(21)
+    vocabulary = [f"v{k}" for k in range(60)]
+    items = {k: [rnd.choice(vocabulary) for _ in range(n)] for k, n in enumerate((1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 20, 30))}
+    items[0] = ["solitaire"]
+    docs = {}
+    for d in range(90):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randrange(0, 60))]
+        if d % 3:
+            item = list(items[rnd.randrange(len(items))])
+            for _ in range(rnd.randrange(0, 4)):
+                item[rnd.randrange(len(item))] = rnd.choice(vocabulary)
+            at = rnd.randrange(len(words) + 1)
+            words[at:at] = item
+        docs[d] = words
+    want = set()
+    for d, words in docs.items():
+        for i, item in items.items():
+            n = min(13, len(item))
+            if any(
+                sum(0 <= s + b + k < len(words) and words[s + b + k] == item[b + k] for k in range(n)) >= 0.8 * n - 1e-9
+                for b in range(len(item) - n + 1)
+                for s in range(-len(item), len(words) + 1)
+            ):
+                want.add((d, i))
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()] + [(None, None)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()] + [(99, ""), (98, None)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.overlaps(frame, bench).collect()}
+    assert got == want
+    assert decontamination.overlaps(frame.where("doc_id < 0"), bench).count() == 0
+    assert decontamination.overlaps(frame, bench.where("item_id < 0")).count() == 0
+
+
+def test_quality_fit_counts_an_id_once(spark):
+    good = " ".join(f"word{k % 70} of" for k in range(90))
+    rows = [(1, good)] * 5 + [(2, " ".join(f"%%{k} $$" for k in range(80)))] + [(3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 0)], "doc_id bigint, quality int, toxic int")
+    model = quality.fit(docs, labels)
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(docs, model).collect()}
+    assert kept == {1: True, 2: False, 3: False}
+    assert quality.judge(docs.where("doc_id < 0"), model).count() == 0

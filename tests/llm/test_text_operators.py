@@ -193,3 +193,25 @@ def test_crf_on_held_out_rows_and_whole_documents():
 
 def test_crc_is_of_little_endian_ids():
     assert zlib.crc32(np.array([1, 2], "<u4")) == zlib.crc32(b"\x01\0\0\0\x02\0\0\0")
+
+
+def test_html_deep_nesting_stays_linear():
+    import time
+
+    began = time.time()
+    deep = html_extract.main_text("<div>x" * 30000 + "</q>" * 30000)
+    assert time.time() - began < 30 and set(deep) <= {"x", "\n"}
+    held_out = (
+        '<html><body><nav><a href="/1">First</a><a href="/2">Second</a></nav><article><h1>Rivers</h1><p>The river rose in the night, and by the morning '
+        'the lower fields were under water.</p><p>Nobody was hurt.</p></article><div class="comments"><p>What a night that was for us!</p></div>'
+        "<footer><p>All rights reserved by the paper.</p></footer></body></html>"
+    )
+    assert html_extract.main_text(held_out).split("\n") == [
+        "Rivers", "The river rose in the night, and by the morning the lower fields were under water.", "Nobody was hurt.",
+    ]
+    assert [html_extract.main_text(t) for t in ("", "<p>", "</div></p>", "<")] == ["", "", "", html_extract.main_text("<")]
+
+
+def test_pii_reads_whole_words():
+    assert pii.word_key('"' + "ab12" * 40 + '"') == pii.word_key('"' + "0f" * 20 + '"')
+    assert pii.word_key("x" * 500 + "1") != pii.word_key("x" * 500 + "12")

@@ -21,14 +21,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one where it is unset."""
+    """The folder that ``spark.checkpoint.dir`` names.
+
+    Where it is unset, a temporary folder on a local master, whose executor is this machine; on
+    a cluster, which must not use one, a folder in the warehouse.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="tripwright-")
+        local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+        found = tempfile.mkdtemp(prefix="tripwright-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tripwright"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+#: Rows that a Python worker holds at once, unless the session says less.
+ARROW_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session passes rows to Python in batches that stay small with long texts."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > ARROW_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return df
+
+
 def stage(df: DataFrame, name: str, **options: int) -> DataFrame:
     """``df`` written to the shared folder and read back: the plan before it is done with.
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwright.llm._common import schema, text_or_empty
+from tripwright.llm._common import schema, small_batches, text_or_empty
 
 LEAF = 8192
 #: The first window has so many characters on either side of the cut.
@@ -229,7 +229,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], _lists(found)], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, schema("doc_id long, ids array<int>"))
+    return small_batches(rows).mapInArrow(run, schema("doc_id long, ids array<int>"))
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -274,4 +274,4 @@ def token_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFra
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, schema(DIGEST + ", ids array<int>" * with_ids))
+    return small_batches(rows).mapInArrow(run, schema(DIGEST + ", ids array<int>" * with_ids))

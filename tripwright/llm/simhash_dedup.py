@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwright.llm._common import connected_components, schema, stage, text_or_empty
+from tripwright.llm._common import connected_components, schema, small_batches, stage, text_or_empty
 
 SEGMENTS = 2
 SEGMENT_BITS = 32
@@ -62,7 +62,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, schema("doc_id long, fp long"))
+    return small_batches(rows).mapInArrow(run, schema("doc_id long, fp long"))
 
 
 def _segment(fp: Column, k: int) -> Column:
