@@ -17,7 +17,7 @@ from tripwright.plans.station_history import catalogue, islands
 from tripwright.schemas import SchemaMismatch, require_schema
 from tripwright.sources.months import compare_inventories, months_of
 from tripwright.sources.rental import SourceError
-from tripwright.sources.station import data_rows, period_of
+from tripwright.sources.station import HEADER, data_rows, period_of
 
 BASE = dict(
     bike_id=" SPB-1 ", rent_at="2026-01-01 00:00:00", rent_station_no=" 01729 ", rent_station_name="n", rent_dock_no="0",
@@ -170,8 +170,11 @@ def test_inventories_and_periods():
         "a": "UNCHANGED", "b": "REVISED", "c": "REMOVED", "d": "NEW",
     }
     assert period_of("s(21.01.31 기준).csv") == ("2021-01-31", "DAY") and period_of("s(26.6월 기준).xlsx") == ("2026-06", "MONTH")
-    rows = [(k, ["h"] * 10) for k in range(1, 6)] + [(6, [""] * 10), (7, ["v"] * 10)]
-    assert list(data_rows(iter(rows))) == [(7, ["v"] * 10)]
+    rows = [*enumerate(HEADER, 1), (6, [""] * 10), (7, ["v"] * 10), (9, ["w"] * 10)]
+    assert list(data_rows(iter(rows))) == [(2, ["v"] * 10), (4, ["w"] * 10)]
+    for bad in (rows[1:], rows[:4], [(1, ["h"] * 10), *rows[1:]], [*rows, (10, ["x"] * 9)]):
+        with pytest.raises(SourceError):
+            list(data_rows(iter(bad)))
 
 
 def test_schema_gate(spark):
@@ -205,3 +208,11 @@ def test_white_space_at_the_ends(spark):
     assert [str(r[0]) for r in times.select(read_timestamp(F.col("t"))).collect()] == ["2020-01-02 03:04:05", "None", "None", "None", "2020-01-02 03:04:05"]
     numbers = spark.createDataFrame([("9223372036854775808",), ("1.5",), ("7",), (None,)], "t string")
     assert [r[0] for r in numbers.select(integer_overflow(F.col("t"))).collect()] == [True, False, False, False]
+
+
+def test_content_hashes_equal_python(spark):
+    from tripwright.functions.identity import content_hash
+
+    rows = [["a", "", "\x1f\\u001F\n"], ["\\", "\x0b\x7f", '"가/']]
+    df = spark.createDataFrame([(r,) for r in rows], "f array<string>")
+    assert [r[0] for r in df.select(content_hash(F.col("f"))).collect()] == [content_id("", r) for r in rows]

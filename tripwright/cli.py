@@ -11,6 +11,7 @@ from tripwright.publish import tables
 from tripwright.publish.bundle import PublishError, Scope
 from tripwright.sources.months import months_of
 from tripwright.sources.rental import SourceError, SourceUnit, rows_of, sniff
+from tripwright.sources.station import Snapshot, period_of
 
 
 def _sources(path: str):
@@ -34,6 +35,15 @@ def main(argv: list[str] | None = None) -> int:
         p = commands.add_parser(f"publish-{name}")
         p.add_argument("root", type=Path)
         p.add_argument("month")
+    station = commands.add_parser("publish-station")
+    station.add_argument("root", type=Path)
+    station.add_argument("path")
+    station.add_argument("version")
+    station.add_argument("--name", help="what the file was published as, if its own name is another")
+    station.add_argument("--recency", type=int)
+    commands.add_parser("publish-history").add_argument("root", type=Path)
+    inspect_station = commands.add_parser("inspect-station")
+    inspect_station.add_argument("path")
     commands.add_parser("publish-calendar").add_argument("root", type=Path)
     current = commands.add_parser("current")
     current.add_argument("root", type=Path)
@@ -51,6 +61,11 @@ def main(argv: list[str] | None = None) -> int:
             encoding, version = sniff(unit)
             print(json.dumps({"encoding": encoding, "schema_version": version, "rows": sum(1 for _ in rows_of(unit))}))
             return 0
+        if args.command == "inspect-station":
+            snapshot = Snapshot(args.path, "inspection", Path(args.path).name)
+            period, precision = period_of(snapshot.name)
+            print(json.dumps({"period": period, "precision": precision, "format": snapshot.format, "rows": sum(1 for _ in snapshot.rows())}))
+            return 0
         if args.command == "member-months":
             print(json.dumps(months_of(args.name)))
             return 0
@@ -67,6 +82,13 @@ def main(argv: list[str] | None = None) -> int:
             result = execute(spark, args.root, plan)
             print(result.to_json(plan_id(plan)))
             return 0 if result.status == "SUCCEEDED" else 1
+        if args.command == "publish-station":
+            snapshot = Snapshot(args.path, args.version, args.name or Path(args.path).name)
+            print(*tables.publish_station(spark, args.root, snapshot, args.recency))
+            return 0
+        if args.command == "publish-history":
+            print(*tables.publish_station_history(spark, args.root))
+            return 0
         if args.command == "publish-calendar":
             print(*tables.publish_calendar(spark, args.root))
             return 0

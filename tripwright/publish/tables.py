@@ -5,22 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwright.functions.identity import content_id, row_id, trip_key
+from tripwright.functions.identity import content_hash, content_id, row_id, trip_key
 from tripwright.operators.groups import classified
+from tripwright.operators.intervals import overlaps
 from tripwright.operators.issues import quarantine_rows
 from tripwright.operators.reconcile import same_rows
 from tripwright.operators.row_rules import FIELDS, canonical, month_of, sealed, typed
+from tripwright.operators.stations import by_number, observe, station_rows
 from tripwright.plans import enrichment
 from tripwright.plans.calendar import dim_date, months_between
 from tripwright.plans.month_quality import month_quality
 from tripwright.plans.od_day import od_day
 from tripwright.plans.station_day import material_months, returns_of, station_day
-from tripwright.publish.bundle import PublishError, Request, Scope, publish
-from tripwright.schemas import CLEAN, FACT, QUARANTINE, require_schema, to_schema
+from tripwright.plans.station_history import catalogue, islands
+from tripwright.publish.bundle import PublishError, Request, Scope, check, publish
+from tripwright.schemas import CLEAN, FACT, HISTORY, OBSERVATIONS, QUARANTINE, STATION_QUARANTINE, require_schema, to_schema
 from tripwright.sources.rental import SourceUnit, read_units
+from tripwright.sources.station import Snapshot, period_of, read_snapshots
 
 TRANSFORMATION = "1"
 FIRST_MONTH, LAST_MONTH = "2020-01", "2026-06"
@@ -31,7 +35,7 @@ def _no_hook(step: str) -> None:
     return None
 
 
-def save(df: DataFrame, path: Path, *order: str) -> None:
+def save(df: DataFrame, path: Path, *order: str | Column) -> None:
     """Compressed Parquet, rows ordered within each file; readers must not rely on order."""
     (df.sortWithinPartitions(*order) if order else df).write.option("compression", "zstd").parquet(str(path))
 
@@ -43,7 +47,7 @@ def clean_rows(spark: SparkSession, units: list[SourceUnit], expected: list[str]
     head = raw.select(
         "source_version_id", "member_name", "source_row_number", "schema_version",
         row_id(F.col("source_version_id"), F.col("member_name"), F.col("source_row_number")).alias("source_row_id"),
-        F.sha2(F.to_json("fields"), 256).alias("row_content_sha256"), *names,
+        content_hash(F.col("fields")).alias("row_content_sha256"), *names,
     )
     rows = month_of(canonical(typed(head)), expected)
     keyed = sealed(rows.withColumn("logical_trip_key", trip_key(F.col("bike_id"), F.col("rent_at"))))
@@ -108,20 +112,102 @@ def publish_calendar(spark: SparkSession, root: Path) -> tuple[str, str]:
     return publish(Request(Scope(root, "date", "all"), "dv1", {"transformation": TRANSFORMATION}, build, validate))
 
 
-def publish_history(spark: SparkSession, root: Path, observations: DataFrame, snapshots: DataFrame, lineage: dict) -> tuple[str, str]:
+def station_tables(spark: SparkSession, snapshot: Snapshot) -> tuple[DataFrame, DataFrame]:
+    """(observations, quarantine) of one station file."""
+    seen, bad = observe(station_rows(read_snapshots(spark, [snapshot])))
+    return to_schema(seen, OBSERVATIONS), to_schema(bad, STATION_QUARANTINE)
+
+
+def publish_station(spark: SparkSession, root: Path, snapshot: Snapshot, recency: int | None = None, hook: Hook = _no_hook) -> tuple[str, str]:
+    """Observations and quarantine of one snapshot, whose period its published name tells."""
+    period, precision = period_of(snapshot.name)
+
+    def build(at: Path) -> dict:
+        seen, bad = station_tables(spark, snapshot)
+        # a snapshot is a few thousand rows: one file each, in order
+        save(seen.coalesce(1), at / "observations", *by_number())
+        save(bad.coalesce(1), at / "quarantine", "source_row_id", "rule_id", "severity", "field", "reason")
+        return counts(at)
+
+    def counts(at: Path) -> dict:
+        """The counters of a bundle, from its two tables alone."""
+        seen = spark.read.parquet(str(at / "observations")).agg(
+            F.count(F.lit(1)).alias("observation_count"), F.coalesce(F.sum("source_row_count"), F.lit(0)).alias("kept"),
+            F.coalesce(F.sum("exact_duplicate_count"), F.lit(0)).alias("repeats"), F.count_if(F.col("exact_duplicate_count") > 0).alias("repeated"),
+        ).first()
+        repeat = F.col("rule_id") == "station_exact_duplicate"
+        clash = F.col("rule_id").isin("station_identity_conflict", "station_capacity_conflict")
+        bad = spark.read.parquet(str(at / "quarantine")).agg(
+            F.count_distinct("source_row_id").alias("rows"), F.count_if(repeat).alias("repeats"),
+            F.count_distinct(F.when(repeat, F.col("station_group_ref"))).alias("repeated"),
+            F.count_distinct(F.when(clash, F.col("station_group_ref"))).alias("clashes"),
+        ).first()
+        return {
+            "source_row_count": seen["kept"] + bad["rows"], "observation_count": seen["observation_count"],
+            "quarantined_source_row_count": bad["rows"], "conflict_group_count": bad["clashes"],
+            "exact_duplicate_group_count": seen["repeated"] + bad["repeated"], "exact_duplicate_source_row_count": seen["repeats"] + bad["repeats"],
+        }
+
+    def validate(at: Path) -> None:
+        seen = require_schema(spark.read.parquet(str(at / "observations")), OBSERVATIONS)
+        bad = require_schema(spark.read.parquet(str(at / "quarantine")), STATION_QUARANTINE)
+        again = station_tables(spark, snapshot)
+        if not (same_rows(seen, again[0]) and same_rows(bad, again[1])):
+            raise PublishError(f"station {period}: not what its source says")
+        if seen.count() != seen.select("station_no").distinct().count():
+            raise PublishError(f"station {period}: a station has two observations")
+        if counts(at)["source_row_count"] != sum(1 for _ in snapshot.rows()):
+            raise PublishError(f"station {period}: {counts(at)}")
+
+    lineage = {"period": period, "precision": precision, "source_version_id": snapshot.source_version_id, "name": snapshot.name, "transformation": TRANSFORMATION}
+    return publish(Request(Scope(root, "station", period), "stv1", lineage, build, validate, recency=recency, before_step=hook))
+
+
+def captured(root: Path) -> list[tuple[Scope, dict]]:
+    """The current station snapshots, whose bytes are as they were published, with their metadata."""
+    found = []
+    for pointer in sorted((root / "station").glob("*/current.json")):
+        scope = Scope(root, "station", pointer.parent.name)
+        meta = check(scope, scope.current())
+        if meta["lineage"]["period"] != scope.name:
+            raise PublishError(f"station {scope.name} points to a snapshot of {meta['lineage']['period']}")
+        found.append((scope, meta))
+    if not found:
+        raise PublishError("no station snapshot is published")
+    return found
+
+
+def publish_station_history(spark: SparkSession, root: Path) -> tuple[str, str]:
+    """The station history of all current snapshots, which must not change meanwhile."""
+    found = captured(root)
+    about = [(m["lineage"]["period"], m["lineage"]["precision"], m["version_id"], m["lineage"]["source_version_id"]) for _, m in found]
+    snapshots = catalogue(spark.createDataFrame(about, "observation_period string, observation_precision string, station_version_id string, source string"))
+    if not snapshots.groupBy("applicable_from").count().where("count > 1").isEmpty():
+        raise PublishError("two station snapshots apply from the same day")
+    seen = spark.read.parquet(*[scope.data("observations", m["version_id"]) for scope, m in found])
+    numbered = snapshots.select("observation_period", "station_version_id", "snapshot_seq", "applicable_from")
+    observations = seen.join(F.broadcast(numbered), "observation_period")  # a row per snapshot
+    lineage = {"snapshots": [list(a) for a in sorted(about)]}
+    return publish_history(spark, root, observations, snapshots, lineage, {scope: m["version_id"] for scope, m in found})
+
+
+def publish_history(
+    spark: SparkSession, root: Path, observations: DataFrame, snapshots: DataFrame, lineage: dict, inputs: dict[Scope, str] | None = None
+) -> tuple[str, str]:
     """The station history of all snapshots; intervals of a station must not overlap."""
-    from tripwright.operators.intervals import overlaps
-    from tripwright.plans.station_history import islands
 
     def build(at: Path) -> dict:
-        save(islands(observations, snapshots), at / "history", "station_no")
+        save(to_schema(islands(observations, snapshots), HISTORY), at / "history", *by_number(), "applicable_from")
         return {"intervals": spark.read.parquet(str(at / "history")).count()}
 
     def validate(at: Path) -> None:
-        if not overlaps(spark.read.parquet(str(at / "history")), "station_no", "applicable_from", "applicable_until").isEmpty():
+        history = require_schema(spark.read.parquet(str(at / "history")), HISTORY)
+        if not overlaps(history, "station_no", "applicable_from", "applicable_until").isEmpty():
             raise PublishError("intervals overlap")
+        if (history.agg(F.sum("observation_count")).first()[0] or 0) != observations.count():
+            raise PublishError("the history does not hold each observation once")
 
-    return publish(Request(Scope(root, "history", "all"), "wh1", {"transformation": TRANSFORMATION, **lineage}, build, validate))
+    return publish(Request(Scope(root, "history", "all"), "wh1", {"transformation": TRANSFORMATION, **lineage}, build, validate, inputs=inputs or {}))
 
 
 def publish_fact(spark: SparkSession, root: Path, month: str, hook: Hook = _no_hook) -> tuple[str, str]:

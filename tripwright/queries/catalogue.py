@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripwright.queries import marts, rules, sets
+from tripwright.queries import marts, rules, sets, stations
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-for _module in (marts, rules, sets):
+for _module in (marts, rules, sets, stations):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)

@@ -7,29 +7,34 @@ from pyspark.sql import functions as F
 
 from tripwright.operators import reconcile
 from tripwright.operators.intervals import interval_join, overlaps
+from tripwright.operators.issues import ISSUES
 from tripwright.operators.stations import conflicts, exact_duplicates
+from tripwright.plans import enrichment
 from tripwright.plans.station_history import islands
 from tripwright.queries.trips import TRIPS_SQL, table, trip_view
+from tripwright.schemas import CLEAN, struct
 
 
 def _keyed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf, "orders")
-    left = orders.where("o_orderkey % 3 <> 0").select((F.col("o_custkey") % 200).alias("k"), "o_orderstatus")
-    right = orders.where("o_orderkey % 4 <> 0").select((F.col("o_custkey") % 150 + 20).alias("k"), "o_orderstatus")
+    left = orders.select((F.col("o_custkey") % 200).alias("k"), "o_orderstatus")
+    right = orders.select((F.col("o_custkey") % 150 + 20).alias("k"), "o_orderstatus")
     return left, right
 
 
 _KEYED_SQL = """
-l AS (SELECT o_custkey % 200 AS k, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0),
-r AS (SELECT o_custkey % 150 + 20 AS k, o_orderstatus FROM orders WHERE o_orderkey % 4 <> 0)"""
+l AS (SELECT o_custkey % 200 AS k, o_orderstatus FROM orders),
+r AS (SELECT o_custkey % 150 + 20 AS k, o_orderstatus FROM orders)"""
 
 
 def q_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    left = orders.where("o_orderkey % 5 <> 0")
-    right = orders.where("o_orderkey % 7 <> 0").withColumn(
-        "o_orderpriority", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderpriority"))
-    )
+    """All orders against themselves with some keys negated and some priorities gone."""
+    left = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    key = F.col("o_orderkey")
+    right = left.select(
+        F.when(key % 7 == 0, -key).otherwise(key).alias("o_orderkey"),
+        F.when(key % 11 != 0, F.col("o_orderpriority")).alias("o_orderpriority"), "o_totalprice",
+    )
     return reconcile.full_outer_changes(left, right, ["o_orderkey"], ["o_orderpriority", "o_totalprice"]).select("o_orderkey", "status")
 
 
@@ -112,6 +117,21 @@ def q_fact(spark: SparkSession, sf: str) -> DataFrame:
     return trip_view(spark, sf).where("distance_metric_eligible").select("bike_id", F.to_date("rent_at").alias("rent_date"), "rent_station_no", "return_station_no", "usage_min")
 
 
+def q_fact_enriched(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact table's columns through :func:`enrich` and :func:`fact`; a trip that can be measured is trusted."""
+    trips = trip_view(spark, sf).withColumns(
+        {"trusted_fact_eligible": F.col("distance_metric_eligible"), "dq_issues": F.array().cast(ISSUES), "dq_warning_count": F.lit(0)}
+    )
+    clean = trips.select(*[n if n in trips.columns else F.lit(None).cast(f.dataType).alias(n) for (n, _), f in zip(CLEAN, struct(CLEAN), strict=True)])
+    spans = _intervals(spark, sf)
+    history = spans.select(F.col("key").alias("station_no"), F.col("valid_from").alias("applicable_from"), F.col("valid_until").alias("applicable_until"))
+    rows = enrichment.fact(enrichment.enrich(clean, history, history_rows=250))
+    return rows.select(
+        "bike_id", F.to_date("rent_at").alias("rent_date"), "rent_station_no", "return_station_no", "usage_min", "station_history_match",
+        "matched_station_applicable_from", "matched_station_applicable_until", "dq_warning_count", F.get("dq_issues", F.lit(0))["rule_id"].alias("rule_id"),
+    )
+
+
 def q_consolidate(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").select(
         (F.col("c_custkey") % 700).alias("station_no"), F.col("c_nationkey").alias("a"),
@@ -127,10 +147,11 @@ def q_repeats(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_months(spark: SparkSession, sf: str) -> DataFrame:
     """Two versions of a yearly source, month by month: NEW, UNCHANGED, REVISED or REMOVED."""
-    orders = table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    orders = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    moved = lambda a, b: F.when(F.col("month") == a, b).otherwise(F.col("month")).alias("month")
     content = lambda df: df.groupBy("month").agg(F.count(F.lit(1)).alias("size"), F.sum("o_orderkey").alias("sum"))
-    old = content(orders.where("month <> '1999-02'"))
-    new = content(orders.where("month <> '1996-05' and not (month = '1997-07' and o_orderkey % 10 = 0)"))
+    old = content(orders.select("o_orderkey", moved("1999-02", "1999-01")))
+    new = content(orders.select("o_orderkey", moved("1996-05", "1996-06")))
     joined = old.alias("a").join(new.alias("b"), "month", "full_outer")
     same = F.col("a.size").eqNullSafe(F.col("b.size")) & F.col("a.sum").eqNullSafe(F.col("b.sum"))
     status = F.when(F.col("a.size").isNull(), "NEW").when(F.col("b.size").isNull(), "REMOVED").when(same, "UNCHANGED").otherwise("REVISED")
@@ -174,6 +195,7 @@ QUERIES = {
     "interval_enrichment": q_interval,
     "interval_overlap_check": q_overlap,
     "trusted_fact_projection": q_fact,
+    "fact_trip_trusted": q_fact_enriched,
     "same_snapshot_consolidation": q_consolidate,
     "exact_duplicate_rows": q_repeats,
     "month_inventory_diff": q_months,
@@ -188,8 +210,9 @@ ORACLES = {
     "semi_missing": f"WITH {_KEYED_SQL} SELECT * FROM l WHERE EXISTS (SELECT 1 FROM r WHERE r.k = l.k)",
     "anti_missing": f"WITH {_KEYED_SQL} SELECT * FROM l WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.k = l.k)",
     "distinct_values": "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders",
-    "full_outer_reconciliation": """WITH a AS (SELECT * FROM orders WHERE o_orderkey % 5 <> 0),
-b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS o_orderpriority, o_totalprice FROM orders WHERE o_orderkey % 7 <> 0),
+    "full_outer_reconciliation": """WITH a AS (SELECT * FROM orders),
+b AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey,
+  CASE WHEN o_orderkey % 11 <> 0 THEN o_orderpriority END AS o_orderpriority, o_totalprice FROM orders),
 j AS (SELECT COALESCE(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'ONLY_RIGHT'
   WHEN b.o_orderkey IS NULL THEN 'ONLY_LEFT' WHEN a.o_orderpriority IS DISTINCT FROM b.o_orderpriority
   OR a.o_totalprice IS DISTINCT FROM b.o_totalprice THEN 'CHANGED' END AS status FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey)
@@ -211,6 +234,12 @@ w AS (SELECT *, lag(valid_until) OVER (PARTITION BY key ORDER BY valid_from) AS
 SELECT key, valid_from, valid_until, previous_until FROM w WHERE nth > 1 AND (previous_until IS NULL OR previous_until > valid_from)""",
     "trusted_fact_projection": f"""WITH {TRIPS_SQL}
 SELECT bike_id, CAST(rent_at AS DATE) AS rent_date, rent_station_no, return_station_no, usage_min FROM trips WHERE distance_metric_eligible""",
+    "fact_trip_trusted": f"""WITH {TRIPS_SQL}, {_INTERVALS_SQL}
+SELECT bike_id, CAST(rent_at AS DATE) AS rent_date, rent_station_no, return_station_no, usage_min, key IS NOT NULL AS station_history_match,
+  valid_from AS matched_station_applicable_from, valid_until AS matched_station_applicable_until,
+  CASE WHEN key IS NULL THEN 1 ELSE 0 END AS dq_warning_count, CASE WHEN key IS NULL THEN 'station_history_unmatched' END AS rule_id
+FROM trips LEFT JOIN spans ON key = rent_station_no AND CAST(rent_at AS DATE) >= valid_from
+  AND (valid_until IS NULL OR CAST(rent_at AS DATE) < valid_until) WHERE distance_metric_eligible""",
     "same_snapshot_consolidation": """WITH r AS (SELECT c_custkey % 700 AS station_no, c_nationkey AS a,
   CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS b FROM customer)
 SELECT station_no, COUNT(*) AS n_rows, MIN(a) AS a, MIN(b) AS b,
@@ -218,8 +247,8 @@ SELECT station_no, COUNT(*) AS n_rows, MIN(a) AS a, MIN(b) AS b,
 FROM r GROUP BY 1""",
     "exact_duplicate_rows": """SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) > 1 AS is_repeat FROM events""",
     "month_inventory_diff": """WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders),
-a AS (SELECT month, COUNT(*) AS n, SUM(o_orderkey) AS s FROM o WHERE month <> '1999-02' GROUP BY 1),
-b AS (SELECT month, COUNT(*) AS n, SUM(o_orderkey) AS s FROM o WHERE month <> '1996-05' AND NOT (month = '1997-07' AND o_orderkey % 10 = 0) GROUP BY 1)
+a AS (SELECT CASE WHEN month = '1999-02' THEN '1999-01' ELSE month END AS month, COUNT(*) AS n, SUM(o_orderkey) AS s FROM o GROUP BY 1),
+b AS (SELECT CASE WHEN month = '1996-05' THEN '1996-06' ELSE month END AS month, COUNT(*) AS n, SUM(o_orderkey) AS s FROM o GROUP BY 1)
 SELECT COALESCE(a.month, b.month) AS month, CASE WHEN a.n IS NULL THEN 'NEW' WHEN b.n IS NULL THEN 'REMOVED'
   WHEN a.n = b.n AND a.s = b.s THEN 'UNCHANGED' ELSE 'REVISED' END AS status FROM a FULL JOIN b ON a.month = b.month""",
     "latest_event": """SELECT event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""",

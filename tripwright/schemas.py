@@ -25,6 +25,24 @@ FACT_COLUMNS = tuple(n for n, _ in FACT)
 QUARANTINE = tuple(
     (n, "string") for n in ("source_row_id", "source_version_id", "source_month", "logical_trip_key", "rule_id", "severity", "field", "reason")
 )
+OBSERVATIONS = (
+    ("source_version_id", "string"), ("observation_period", "string"), ("observation_precision", "string"), ("station_no", "string"),
+    ("station_name", "string"), ("district", "string"), ("address", "string"), ("latitude", "decimal(18,8)"), ("longitude", "decimal(18,8)"),
+    ("lcd_capacity", "int"), ("qr_capacity", "int"), ("operation_mode", "string"), ("source_row_ids", "array<string>"),
+    ("source_row_numbers", "array<bigint>"), ("source_row_count", "int"), ("exact_duplicate_count", "int"),
+    ("installation_values", "array<string>"), ("dq_issues", _ISSUES), ("dq_warning_count", "int"),
+)
+STATION_QUARANTINE = (
+    ("source_row_id", "string"), ("source_version_id", "string"), ("source_row_number", "bigint"), ("observation_period", "string"),
+    ("station_no_raw", "string"), ("station_no", "string"), ("station_group_ref", "string"), ("rule_id", "string"),
+    ("severity", "string"), ("field", "string"), ("reason", "string"),
+)
+HISTORY = (
+    ("station_no", "string"), ("applicable_from", "date"), ("applicable_until", "date"), ("station_name", "string"), ("district", "string"),
+    ("address", "string"), ("latitude", "decimal(18,8)"), ("longitude", "decimal(18,8)"), ("lcd_capacity", "int"), ("qr_capacity", "int"),
+    ("operation_mode", "string"), ("observation_periods", "array<string>"), ("station_version_ids", "array<string>"),
+    ("source_version_ids", "array<string>"), ("observation_count", "int"),
+)
 
 
 class SchemaMismatch(ValueError):

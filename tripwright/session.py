@@ -39,7 +39,7 @@ def get_session(master: str | None = None, app: str = "tripwright", **settings:
             settings.setdefault("spark.driver.memory", "8g")
     for key, value in {**RESULT_SETTINGS, **START_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return reachable(builder.getOrCreate())
 
 
 def reachable(spark: SparkSession) -> SparkSession:
