@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -13,7 +13,9 @@ from tripwright.functions.identity import content_id
 from tripwright.plans.calendar import months_between
 from tripwright.plans.station_day import impact_months
 from tripwright.publish import tables
-from tripwright.publish.bundle import PublishError, Scope
+from tripwright.publish.bundle import PublishError, Scope, read_json
+from tripwright.sources import registry
+from tripwright.sources.months import months_of
 from tripwright.sources.rental import SourceError, SourceUnit
 
 
@@ -25,16 +27,19 @@ class Source:
     unit: SourceUnit
     yearly: bool = False
     recency: int = 0
+    #: The months that the rows of the unit may be of, if more than its own.
+    expected: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
 class MonthPlan:
     month: str
-    status: str  # NEW, UNCHANGED, REVISED, MISSING
+    status: str  # NEW, UNCHANGED, REVISED, REMOVED, MISSING
     units: tuple[SourceUnit, ...] = ()
     recency: int = 0
     #: The fact version that the plan replaces; a retry still compares with it.
     previous_fact: str | None = None
+    expected: tuple[str, ...] = ()
 
 
 @dataclass
@@ -64,6 +69,49 @@ def plan_id(plan: list[MonthPlan]) -> str:
     return content_id("bfp", [asdict(m) for m in plan])
 
 
+def _published_units(root: Path, month: str) -> list[list[str | None]] | None:
+    """[version, member] of each unit behind the current clean month."""
+    scope = Scope(root, "clean", month)
+    now = scope.current()
+    return None if now is None else read_json(scope.version(now) / "metadata.json")["lineage"]["units"]
+
+
+def plan_registered(root: Path, manifest: Path, raw_root: Path, first: str, last: str, dataset_id: str = "rental_history") -> list[MonthPlan]:
+    """What each month needs, from the registered sources: the latest version of every period.
+
+    A month whose files in a new ZIP are those of the version before, whatever their names, is
+    UNCHANGED and keeps the version that it was read from; one that a ZIP no longer has is REMOVED.
+    """
+    records = [r for r in registry.load(manifest) if r.dataset_id == dataset_id]
+    known = {r.source_version_id: r for r in records}
+    sources, zipped = [], set()
+    for n, record in enumerate(records):
+        if any(r.logical_period == record.logical_period for r in records[n + 1 :]):
+            continue
+        held = registry.months_in(raw_root, record)
+        for month, units in held.items():
+            if record.zipped and month in zipped:
+                raise PublishError(f"{month} is in two registered ZIP files")
+            spans = {m for u in units for m in (months_of(u.member_name) if record.zipped else [month])}
+            sources += [Source(month, u, record.zipped, n, tuple(sorted(spans))) for u in units]
+        if record.zipped:
+            zipped |= held.keys()
+    out = []
+    for m in plan_range(root, first, last, sources):
+        before = _published_units(root, m.month)
+        if before and m.status in ("REVISED", "MISSING"):
+            if not {v for v, _ in before} <= known.keys():
+                raise PublishError(f"{m.month} was published from a source that is not registered")
+            old = [registry.unit(raw_root, known[v], name) for v, name in before]
+            if m.status == "MISSING":
+                gone = any(known[v].zipped for v, _ in before)
+                m = replace(m, status="REMOVED" if gone else "MISSING")  # noqa: PLW2901
+            elif m.units[0].member_name and old[0].member_name and registry.same_content(old, list(m.units)):
+                m = replace(m, status="UNCHANGED", units=tuple(old), recency=records.index(known[before[0][0]]))  # noqa: PLW2901
+        out.append(m)
+    return out
+
+
 def plan_range(root: Path, first: str, last: str, sources: list[Source]) -> list[MonthPlan]:
     """What each month needs; a monthly and a yearly source of one month is an error."""
     out = []
@@ -77,14 +125,10 @@ def plan_range(root: Path, first: str, last: str, sources: list[Source]) -> list
             continue
         newest = max(s.recency for s in own)
         units = tuple(s.unit for s in own if s.recency == newest)
-        scope = Scope(root, "clean", month)
-        now = scope.current()
-        if now is None:
-            status = "NEW"
-        else:
-            lineage = json.loads((scope.version(now) / "metadata.json").read_text())["lineage"]
-            status = "UNCHANGED" if lineage["units"] == [[u.source_version_id, u.member_name] for u in units] else "REVISED"
-        out.append(MonthPlan(month, status, units, newest, previous))
+        expected = tuple(sorted({m for s in own if s.recency == newest for m in s.expected}))
+        before = _published_units(root, month)
+        status = "NEW" if before is None else "UNCHANGED" if before == [[u.source_version_id, u.member_name] for u in units] else "REVISED"
+        out.append(MonthPlan(month, status, units, newest, previous, expected))
     return out
 
 
@@ -104,12 +148,12 @@ def execute(
     for m in chosen:
         step = lambda s, m=m: hook(m.month, s) if hook else None
         said = result.months[m.month] = {"status": "FAILED", "source": m.status, "steps": {}, "error": ""}
-        if m.status == "MISSING":
-            said["error"] = "no source"
+        if m.status in ("MISSING", "REMOVED"):
+            said["error"] = "no source" if m.status == "MISSING" else "the source no longer has the month"
             continue
         fact = Scope(root, "fact", m.month)
         try:
-            said["steps"]["clean"] = tables.publish_clean(spark, root, m.month, list(m.units), recency=m.recency, hook=step)[1]
+            said["steps"]["clean"] = tables.publish_clean(spark, root, m.month, list(m.units), list(m.expected) or None, m.recency, step)[1]
             said["steps"]["fact"] = tables.publish_fact(spark, root, m.month, hook=step)[1]
         except (PublishError, SourceError) as e:
             said["error"] = str(e)

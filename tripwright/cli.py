@@ -5,10 +5,12 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import asdict
 from pathlib import Path
 
 from tripwright.publish import tables
 from tripwright.publish.bundle import PublishError, Scope
+from tripwright.sources import registry
 from tripwright.sources.months import months_of
 from tripwright.sources.rental import SourceError, SourceUnit, rows_of, sniff
 from tripwright.sources.station import Snapshot, period_of
@@ -54,6 +56,22 @@ def main(argv: list[str] | None = None) -> int:
     backfill.add_argument("first")
     backfill.add_argument("last")
     backfill.add_argument("sources")
+    register = commands.add_parser("register-source")
+    for name in ("artifact", "manifest", "raw_root"):
+        register.add_argument(name, type=Path)
+    for name in ("dataset-id", "logical-period", "published-filename", "source-url", "license"):
+        register.add_argument(f"--{name}", required=True)
+    register.add_argument("--source-modified-at")
+    listed = commands.add_parser("inventory-zip")
+    for name in ("manifest", "raw_root"):
+        listed.add_argument(name, type=Path)
+    listed.add_argument("version")
+    for command in ("plan-registered", "backfill-registered"):
+        p = commands.add_parser(command)
+        for name in ("root", "manifest", "raw_root"):
+            p.add_argument(name, type=Path)
+        p.add_argument("first")
+        p.add_argument("last")
     args = parser.parse_args(argv)
     try:
         if args.command == "inspect-csv":
@@ -69,16 +87,36 @@ def main(argv: list[str] | None = None) -> int:
         if args.command == "member-months":
             print(json.dumps(months_of(args.name)))
             return 0
+        if args.command == "register-source":
+            about = {k: v for k, v in vars(args).items() if k not in ("command", "artifact", "manifest", "raw_root")}
+            status, record = registry.register(args.artifact, args.manifest, args.raw_root, **about)
+            print(json.dumps({"status": status, "source_version_id": record.source_version_id}))
+            return 0
+        if args.command == "inventory-zip":
+            record = next((r for r in registry.load(args.manifest) if r.source_version_id == args.version), None)
+            if record is None:
+                raise SourceError(f"{args.version} is not registered")
+            print(json.dumps([asdict(m) for m in registry.inventory(args.raw_root, record)], ensure_ascii=False))
+            return 0
+        if args.command == "plan-registered":
+            from tripwright.backfill.run import plan_registered
+
+            plan = plan_registered(args.root, args.manifest, args.raw_root, args.first, args.last)
+            print(json.dumps({m.month: m.status for m in plan}))
+            return 0
         if args.command == "current":
             print(Scope(args.root, args.kind, args.name).current())
             return 0
         from tripwright.session import get_session
 
         spark = get_session()
-        if args.command == "backfill-range":
-            from tripwright.backfill.run import execute, plan_id, plan_range
+        if args.command in ("backfill-range", "backfill-registered"):
+            from tripwright.backfill.run import execute, plan_id, plan_range, plan_registered
 
-            plan = plan_range(args.root, args.first, args.last, _sources(args.sources))
+            if args.command == "backfill-range":
+                plan = plan_range(args.root, args.first, args.last, _sources(args.sources))
+            else:
+                plan = plan_registered(args.root, args.manifest, args.raw_root, args.first, args.last)
             result = execute(spark, args.root, plan)
             print(result.to_json(plan_id(plan)))
             return 0 if result.status == "SUCCEEDED" else 1

@@ -8,6 +8,7 @@ carry the decoded, unmodified texts; typing and rules are column expressions on
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import zipfile
 from collections.abc import Iterator
@@ -37,12 +38,26 @@ class SourceUnit:
     path: str
     source_version_id: str
     member_name: str | None = None
+    #: What the unit's bytes must be, if registered; each reading checks them first.
+    size: int | None = None
+    sha256: str | None = None
 
     def open(self):
         if self.member_name is None:
             return open(self.path, "rb")
         return io.BufferedReader(zipfile.ZipFile(self.path).open(self.member_name))
 
+    def verify(self) -> None:
+        if self.sha256 is None:
+            return
+        size, digest = 0, hashlib.sha256()
+        with self.open() as f:
+            while block := f.read(1 << 20):
+                size += len(block)
+                digest.update(block)
+        if (size, digest.hexdigest()) != (self.size, self.sha256):
+            raise SourceError(f"{self}: its bytes are not those that were registered")
+
 
 def sniff(unit: SourceUnit) -> tuple[str, str]:
     """(encoding, schema version) from the header alone; an unknown header is an error."""
@@ -64,6 +79,7 @@ def sniff(unit: SourceUnit) -> tuple[str, str]:
 
 def rows_of(unit: SourceUnit) -> Iterator[tuple[int, str, list[str]]]:
     """(row number from 1, schema version, fields) of every data row."""
+    unit.verify()
     encoding, version = sniff(unit)
     width, n = len(HEADERS[version]), 0
     with unit.open() as f, io.TextIOWrapper(f, encoding=encoding, errors="strict", newline="") as text:
@@ -89,7 +105,11 @@ class _Reader(DataSourceReader):
     def __init__(self, options):
         n = int(options["units"])
         self.units = [
-            SourceUnit(options[f"path{k}"], options[f"version{k}"], options.get(f"member{k}")) for k in range(n)
+            SourceUnit(
+                options[f"path{k}"], options[f"version{k}"], options.get(f"member{k}"), int(options[f"size{k}"]) if f"size{k}" in options else None,
+                options.get(f"sha256_{k}"),
+            )
+            for k in range(n)
         ]
 
     def partitions(self):
@@ -102,7 +122,7 @@ class _Reader(DataSourceReader):
 
 
 class RentalSource(DataSource):
-    """format("tripwright_rental"); options units, path<k>, version<k>, member<k>."""
+    """format("tripwright_rental"); options units, path<k>, version<k>, member<k>, size<k>, sha256_<k>."""
 
     @classmethod
     def name(cls):
@@ -123,4 +143,6 @@ def read_units(spark: SparkSession, units: list[SourceUnit]) -> DataFrame:
         reader = reader.option(f"path{k}", u.path).option(f"version{k}", u.source_version_id)
         if u.member_name is not None:
             reader = reader.option(f"member{k}", u.member_name)
+        if u.sha256 is not None:
+            reader = reader.option(f"size{k}", u.size).option(f"sha256_{k}", u.sha256)
     return reader.load()
