@@ -206,6 +206,45 @@ def test_line_dedup_sums_each_line_once(spark):
     assert {(r["doc_id"], r["n_removed"]) for r in got} == {(None, 0), (7, 1)} and not hasattr(line_dedup, "MAX_FUZZY_WORDS")
 
 
+def _fuzzy_groups(spark, lines):
+    """(a label for each line by the operator, one by all pairs' edit similarity, the pairs that have it)."""
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").cache()
+    classes = line_dedup.stage(line_dedup.classes_of(line_dedup.occurrences_of(rows)), "classes")
+    found = {r["class"]: r["component"] for r in line_dedup.groups_of(rows, classes).collect()}
+    names = [r[0] for r in rows.orderBy("doc_id").select(F.xxhash64("text", F.lit("line"))).collect()]
+    close = F.expr("a.doc_id < b.doc_id AND levenshtein(a.text, b.text, cast(floor(0.2 * greatest(length(a.text), length(b.text)) + 1e-9) AS int)) >= 0")
+    true = [(r[0], r[1]) for r in rows.alias("a").join(rows.alias("b"), close).select("a.doc_id", "b.doc_id").collect()]
+    return [found.get(n, n) for n in names], _components(len(lines), true), true
+
+
+def test_line_dedup_links_all_short_lines(spark):
+    rnd = random.Random(3)
+    lines = {"abcd", "abcde", "la ja", "la ra"}
+    for _ in range(120):
+        line = "".join(rnd.choice("abcdefgh ") for _ in range(rnd.randrange(5, line_dedup.SHORT_CHARS - 8)))
+        for _ in range(2):
+            lines.add(" ".join(line.split()))
+            for _ in range(rnd.randrange(1, 2 + len(line) // 5)):
+                k = rnd.randrange(len(line))
+                line = line[:k] + rnd.choice(["", "x", line[k] + "y"]) + line[k + 1 :]
+    got, want, true = _fuzzy_groups(spark, sorted(x for x in lines if len(x) > 3))
+    assert len(true) > 60 and len(set(want)) > 60
+    assert _components(len(got), [(a, b) for a in range(len(got)) for b in range(a) if got[a] == got[b]]) == want
+
+
+def test_line_dedup_links_lines_with_many_changed_words(spark):
+    # a seventh of the words, in all blocks of a line
+    rnd = random.Random(17)
+    vocabulary = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 10))) for _ in range(3000)]
+    lines = []
+    for n in (9, 14, 30, 60, 100, 200, 400) * 8:
+        words = [rnd.choice(vocabulary) for _ in range(n)]
+        changed = {k: rnd.choice(vocabulary) for k in rnd.sample(range(n), n // 7)}
+        lines += [" ".join(words), " ".join(changed.get(k, w) for k, w in enumerate(words))]
+    got, _, true = _fuzzy_groups(spark, lines)
+    assert len(true) > 45 and sum(got[a] == got[b] for a, b in true) >= 0.97 * len(true)
+
+
 def test_sharding(spark, docs):
     names = [f"s{k}" for k in range(5)]
     table = sharding.lookup_table(names, 101)
