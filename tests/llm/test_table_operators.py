@@ -1,14 +1,16 @@
 """Operators that work on tables, against brute force on small fixtures with odd rows."""
 
 import hashlib
+import os
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripwright.llm import chat, decontamination, line_dedup, pii, quality, sharding, simhash_dedup, token_files
+from tripwright.llm import _common, chat, decontamination, line_dedup, pii, quality, sharding, simhash_dedup, token_files
 from tripwright.llm._common import connected_components
 
 P = pytest.importorskip("public_tokenizers")
@@ -59,6 +61,33 @@ def test_connected_components(spark):
     assert connected_components(edges.where("src < 0")).count() == 0
 
 
+def test_staged_tables_leave_no_shuffle_files(spark):
+    kept = lambda: {str(b) for b in map(str, spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")) if "shuffle_" in b}
+    before = kept()
+    some = lambda k: spark.range(1000).where(f"id % 2 = {k}").groupBy((F.col("id") % 7).alias("x")).count()
+    both = _common.stage_all(map(some, (0, 1)), "both")
+    deadline = time.time() + 20
+    while kept() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not kept() - before
+    assert both.agg(F.sum("count")).first()[0] == 1000 and both.count() == 14
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    path = both._tripwright_path
+    _common.unstage(both, _common.stage(spark.range(3).toDF("x"), "other"))
+    assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_line_dedup_leaves_only_its_result(spark):
+    shared = _common.shared_dir(spark).removeprefix("file:") + "/tripwright"
+    there = lambda: {n.rsplit("-", 1)[0] for n in os.listdir(shared) if n not in before}
+    os.makedirs(shared, exist_ok=True)
+    before = set(os.listdir(shared))
+    words = [" ".join(f"w{(k * 7 + j) % 50}x" for j in range(12)) for k in range(20)]
+    docs = spark.createDataFrame([(k, w + ("" if k % 2 else " z")) for k, w in enumerate(words + words)], "doc_id long, text string")
+    line_dedup.dedup_lines(docs)
+    assert "removed" in there() and not there() - {"removed", "edges"}
+
+
 def test_simhash_groups(docs):
     got = simhash_dedup.near_duplicates(docs).collect()
     assert len(got) == len(DOCS)
