@@ -36,6 +36,26 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
     assert left["decontamination"] == left["near_dedup"] - {50} and clean <= left["bpe"]
 
 
+def test_a_stage_drops_the_shuffle_files_of_the_one_before(spark, tmp_path):
+    import time
+
+    import corpus_pipeline
+
+    def kept():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "shuffle_" in f}
+
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('w', id, ' a') AS text", "'en' AS lang", "'s' AS source", "5L AS n_chars")
+    docs.repartition(3, "doc_id").write.parquet(f"{tmp_path}/docs")
+    before = kept()
+    assert before
+    corpus_pipeline.tokenize(spark, spark.read.parquet(f"{tmp_path}/docs"), str(tmp_path))
+    deadline = time.time() + 20
+    while kept() & before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not kept() & before
+
+
 def test_names():
     import __spark_entry__
 
