@@ -3,8 +3,10 @@
 import hashlib
 import os
 import random
+import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -274,6 +276,55 @@ def test_line_dedup_links_lines_with_many_changed_words(spark):
     assert len(true) > 45 and sum(got[a] == got[b] for a, b in true) >= 0.97 * len(true)
 
 
+def test_line_dedup_counts_characters_before_lines_meet(spark, monkeypatch):
+    # lines that share a passage, some of them near copies: pairs whose characters already differ too much are not compared
+    rnd = random.Random(23)
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randrange(3, 9)))
+    passage = [word("abcdefghijklmnopqrstuvwxyz") for _ in range(60)]
+    lines = []
+    for k in range(90):
+        letters = rnd.sample("abcdefghijklmnopqrstuvwxyzéü", 4)
+        lines.append(" ".join([word(letters) for _ in range(38)] + passage))
+        if k % 6 == 0:
+            lines.append(lines[-1].replace(passage[7], "other").replace(passage[30], "more"))
+    met, stage = [], line_dedup.stage
+
+    def kept(df, name, **options):
+        out = stage(df, name, **options)
+        met.append((name, out.columns == ["a", "b"] and out.collect()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "stage", kept)
+    got, want, true = _fuzzy_groups(spark, lines)
+    assert len(true) >= 15 and _components(len(got), [(a, b) for a in range(len(got)) for b in range(a) if got[a] == got[b]]) == want
+    names = spark.createDataFrame([(x,) for x in lines], "text string").select(F.xxhash64("text", F.lit("line")), "text").collect()
+    text = {r[0]: r[1] for r in names}
+    last = [pairs for name, pairs in met if name in ("stars", "rest")][1:]
+    assert last and sum(map(len, last)) > 0
+    for a, b in (pair for pairs in last for pair in pairs):
+        x, y = (Counter(re.sub("[^ a-z]", "?", text[k])) for k in (a, b))
+        assert max((x - y).total(), (y - x).total()) <= 0.2 * max(x.total(), y.total())
+
+
+def test_line_dedup_compares_pairs_in_slices(spark, monkeypatch):
+    lines = [f"{'alpha beta gamma delta ' * 3}{k} " + "omega " * (k % 4 * 5 + 1) for k in range(14)]
+    texts = spark.createDataFrame(list(enumerate(lines)), "class bigint, norm string")
+    pairs = spark.createDataFrame([(a, b) for a in range(14) for b in range(a + 1, 14)], "a bigint, b bigint")
+    count, stage_all = [], line_dedup.stage_all
+    monkeypatch.setattr(line_dedup, "PAIRS_AT_ONCE", 1)
+
+    def counted(frames, name):
+        frames = list(frames)
+        count.append(len(frames))
+        return stage_all(frames, name)
+
+    monkeypatch.setattr(line_dedup, "stage_all", counted)
+    got = {(r["src"], r["dst"]) for r in line_dedup._linked(pairs, texts, 0.8).collect()}
+    close = F.expr("a.class < b.class AND levenshtein(a.norm, b.norm) <= 0.2 * greatest(length(a.norm), length(b.norm))")
+    want = {(r[0], r[1]) for r in texts.alias("a").join(texts.alias("b"), close).select("a.class", "b.class").collect()}
+    assert got == want and 0 < len(want) < 91 and count == [4]  # 91 pairs, 28 at once
+
+
 def test_sharding(spark, docs):
     names = [f"s{k}" for k in range(5)]
     table = sharding.lookup_table(names, 101)
