@@ -474,3 +474,31 @@ def test_quality_fit_counts_an_id_once(spark):
     kept = {r["doc_id"]: r["kept"] for r in quality.judge(docs, model).collect()}
     assert kept == {1: True, 2: False, 3: False}
     assert quality.judge(docs.where("doc_id < 0"), model).count() == 0
+
+
+def test_quality_fits_on_all_labelled_rows(spark):
+    rnd = random.Random(31)
+    words = ["".join(rnd.choice("abcdefghij%$") for _ in range(3)) for _ in range(60)]
+    rows = [(k, " ".join(rnd.choice(words[: 40 + 20 * (k % 7 == 0)]) for _ in range(50 + k % 3))) for k in range(21000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    good = {k: k % 7 > 0 for k, _ in rows if k % 40}
+    labels = spark.createDataFrame([(k, int(g), 0) for k, g in good.items()], "doc_id bigint, quality int, toxic int")
+    target, corpus = np.zeros(1 << quality.BUCKET_BITS), np.zeros(1 << quality.BUCKET_BITS)
+    for k, text in rows:
+        n = np.bincount(np.concatenate(list(quality.ngram_buckets(text.encode()))), minlength=len(corpus))
+        corpus += n
+        target += n * good.get(k, False)
+    model = quality.fit(docs, labels)
+    want = quality.Model(quality.ratios_of(target, corpus))
+    counted = [(want.score(text), good[k]) for k, text in rows if k in good and not quality.base_failed(*quality.base_stats(text)[::4])]
+    assert len(counted) > 20000 and np.array_equal(model.ratios, want.ratios)
+    assert model.threshold == quality.choose_threshold(*map(np.array, zip(*counted, strict=True))) > float("-inf")
+
+
+def test_quality_threshold_by_ranges_equals_arrays(spark):
+    rnd = random.Random(37)
+    for n, steps, loss in ((1, 5, 0.1), (40, 6, 0.3), (300, 40, 0.05), (500, 10**6, 0.01), (60, 3, 1.0)):
+        rows = [(round(rnd.randrange(steps) / steps - 0.5 + 0.3 * g, 9), g) for g in (rnd.random() < 0.6 for _ in range(n))]
+        got = quality.threshold_of(spark.createDataFrame(rows, "score double, good boolean"), loss)
+        assert got == quality.choose_threshold(*map(np.array, zip(*rows, strict=True)), loss)
+    assert quality.threshold_of(spark.createDataFrame([], "score double, good boolean")) == float("-inf")
