@@ -325,6 +325,44 @@ def test_line_dedup_compares_pairs_in_slices(spark, monkeypatch):
     assert got == want and 0 < len(want) < 91 and count == [4]  # 91 pairs, 28 at once
 
 
+def test_line_dedup_compares_no_pairs_that_turns_have_joined(spark, monkeypatch):
+    # near copies of two passages, and a third text: few pairs make each group one component
+    rnd = random.Random(29)
+    passages = [[f"{p}{rnd.randrange(10**6)}" for _ in range(60)] for p in "xy"]
+    lines = [" ".join(f"z{rnd.randrange(10**6)}" if rnd.random() < 0.05 else w for w in passages[k % 2]) for k in range(60)] + ["alone " * 40]
+    texts = spark.createDataFrame(list(enumerate(lines)), "class bigint, norm string")
+    pairs = spark.createDataFrame([(a, b) for a in range(61) for b in range(a + 1, 61)], "a bigint, b bigint")
+    found = spark.createDataFrame([(0, 0)], "node bigint, component bigint")
+    compared, linked = [], line_dedup._linked
+    monkeypatch.setattr(line_dedup, "MANY_PAIRS", 0)
+    monkeypatch.setattr(line_dedup, "_linked", lambda now, *rest, **more: compared.append(now.count()) or linked(now, *rest, **more))
+    got = {r["node"]: r["component"] for r in line_dedup._settled(pairs, texts, found, 0.8).collect()}
+    assert got == {k: k % 2 for k in range(60)}
+    # those between the groups (900, and 60 of the third text) are all compared, of the other 870 those of the first turn or little more
+    assert len(compared) == len(line_dedup.TURNS) and 960 < sum(compared) < 960 + 400
+
+
+def test_line_dedup_moves_one_text_of_a_pair(spark):
+    texts = spark.createDataFrame([(k, f"some line {k}") for k in range(9)], "class bigint, norm string")
+    pairs = spark.createDataFrame([(0, k) for k in range(1, 9)], "a bigint, b bigint")
+    close = line_dedup._close(pairs, texts, 0.8, True)
+    assert {(r["src"], r["dst"]) for r in close.collect()} == {(0, k) for k in range(1, 9)}
+    plan = close._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and not re.search(r"RepartitionByExpression \[a#\d+L, b#", plan)
+
+
+def test_line_dedup_reads_each_text_once_for_many_classes(spark, monkeypatch):
+    # texts of candidates are rows of their own: documents are split for the lines, once more for texts and once for the result
+    words = [" ".join(f"w{(k * 7 + j) % 50}x" for j in range(12)) for k in range(20)]
+    docs = spark.createDataFrame([(k, w + ("" if k % 2 else " z")) for k, w in enumerate(words + words)], "doc_id long, text string")
+    want = {(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs).collect()}
+    split, lines_of = [], line_dedup.lines_of
+    monkeypatch.setattr(line_dedup, "lines_of", lambda rows: split.append(1) or lines_of(rows))
+    monkeypatch.setattr(line_dedup, "MAX_BROADCAST_ROWS", 0)
+    got = {(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == want and len(split) == 1
+
+
 def test_sharding(spark, docs):
     names = [f"s{k}" for k in range(5)]
     table = sharding.lookup_table(names, 101)
