@@ -342,6 +342,45 @@ def test_line_dedup_compares_no_pairs_that_turns_have_joined(spark, monkeypatch)
     assert len(compared) == len(line_dedup.TURNS) and 960 < sum(compared) < 960 + 400
 
 
+def test_line_dedup_compares_no_pair_again(spark, monkeypatch):
+    # lines that share passages and are too far apart: those of one passage meet by many keys, whose first classes differ
+    rnd = random.Random(31)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(3, 9)))
+    passage = [word() for _ in range(40)]
+    lines = []
+    for k in range(40):
+        at = rnd.randrange(3) * 10
+        lines.append(" ".join([word() for _ in range(9)] + passage[at : at + 20]))
+        if k % 8 == 0:
+            lines.append(lines[-1].replace(passage[at + 7], "other"))
+    compared, linked = [], line_dedup._linked
+    monkeypatch.setattr(line_dedup, "_linked", lambda now, *rest, **more: compared.extend((min(r), max(r)) for r in now.collect()) or linked(now, *rest, **more))
+    got, want, true = _fuzzy_groups(spark, lines)
+    assert len(true) >= 5 and _components(len(got), [(a, b) for a in range(len(got)) for b in range(a) if got[a] == got[b]]) == want
+    assert len(compared) == len(set(compared)) > 100
+
+
+def test_line_dedup_leaves_keys_whose_pairs_are_compared(spark, monkeypatch):
+    # eight pairs of lines that share a passage of their own: the first class of each key has met the other
+    rnd = random.Random(37)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(3, 9)))
+    lines = []
+    for _ in range(8):
+        passage = [word() for _ in range(12)]
+        lines += [" ".join([word() for _ in range(8)] + passage) for _ in range(2)]
+    counted, stage = [], line_dedup.stage
+
+    def kept(df, name, **options):
+        out = stage(df, name, **options)
+        if name == "counted" and "c0" in out.columns:
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stage", kept)
+    got, want, true = _fuzzy_groups(spark, lines)
+    assert not true and len(set(got)) == 16 and counted == [0]
+
+
 def test_line_dedup_moves_one_text_of_a_pair(spark):
     texts = spark.createDataFrame([(k, f"some line {k}") for k in range(9)], "class bigint, norm string")
     pairs = spark.createDataFrame([(0, k) for k in range(1, 9)], "a bigint, b bigint")
